@@ -69,15 +69,38 @@ def rolling_sums(
     strict: bool = False,
     name: str = "rollsum_{col}_{w}",
 ) -> DataFrame:
-    """Append one lagged sum per (column, window) in a single projection."""
+    """Append one lagged sum per (column, window); one Window operator for all of them.
+
+    Shared sub-expressions are built once: the ``(UNBOUNDED, -1)`` running sum of a column is
+    reused by every window length, and non-nullable columns (rollup counts) share one row count
+    per window instead of a non-null count per column.
+    """
     spec = entity_window(entity, order)
+    windows = list(windows)
     cols = [c for c in columns if c in df.columns]
-    exprs = [
-        lagged_sum(df, c, w, spec, strict).alias(name.format(col=c, w=w))
-        for w in windows
-        for c in cols
-    ]
-    return df.select("*", *exprs)
+    prev = spec.rowsBetween(UNBOUNDED, -1)
+    old = {w: spec.rowsBetween(UNBOUNDED, -(w + 1)) for w in windows}
+    one = F.lit(1)
+    rows_prev = F.coalesce(F.count(one).over(prev), F.lit(0))
+    rows_in = {w: rows_prev - F.coalesce(F.count(one).over(old[w]), F.lit(0)) for w in windows}
+    exprs = []
+    for c in cols:
+        floating = _is_floating(df, c)
+        x = F.col(c).cast(DECIMAL_SUM) if floating else F.col(c).cast("long")
+        s_prev = F.coalesce(F.sum(x).over(prev), F.lit(0))
+        nullable = df.schema[c].nullable
+        n_prev = F.coalesce(F.count(x).over(prev), F.lit(0)) if nullable else None
+        for w in windows:
+            total = s_prev - F.coalesce(F.sum(x).over(old[w]), F.lit(0))
+            if nullable:
+                n = n_prev - F.coalesce(F.count(x).over(old[w]), F.lit(0))
+            else:
+                n = rows_in[w]
+            out = F.when(n >= (w if strict else 1), total)
+            out = out.cast("double") if floating else out
+            exprs.append((w, c, out.alias(name.format(col=c, w=w))))
+    exprs.sort(key=lambda t: (windows.index(t[0]), cols.index(t[1])))
+    return df.select("*", *[e for _, _, e in exprs])
 
 
 def cumulative_sum(c: str, spec: WindowSpec, include_current: bool = True) -> Column:
@@ -148,17 +171,20 @@ def last_non_null_per_key(
 ) -> DataFrame:
     """Collapse rows sharing ``keys`` to one: per column, the last non-null value in ``order``.
 
-    Input partitioned on a prefix of ``keys`` (e.g. the window's entity) is aggregated without
-    another shuffle.
+    Runs as one ``Window`` over (keys) ordered by ``order`` with an unbounded frame: input that is
+    already partitioned on a prefix of ``keys`` and sorted (the output of the rolling window) needs
+    no further Exchange or Sort, and each group is scanned once.
     """
-    ordkey = F.struct(*[F.col(c) for c in order])
+    ordered = Window.partitionBy(*keys).orderBy(*order)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     values = [c for c in df.columns if c not in keys]
-    aggs = [
-        (F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordkey)) if c not in order
-         else F.max(F.col(c))).alias(c)
-        for c in values
-    ]
-    return df.groupBy(*keys).agg(*aggs).select(*df.columns)
+    out = df.select(
+        *keys,
+        *[F.last(F.col(c), ignorenulls=True).over(whole).alias(c) for c in values],
+        F.row_number().over(ordered).alias("_rn"),
+        F.count(F.lit(1)).over(whole).alias("_n"),
+    )
+    return out.filter(F.col("_rn") == F.col("_n")).select(*df.columns)
 
 
 def _scope_entity(entity: str, scope: str, date_col: str) -> list[str] | str:

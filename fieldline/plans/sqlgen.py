@@ -25,7 +25,7 @@ def dbl(x: float) -> str:
 
 def rnd(expr: str, n: int) -> str:
     """ROUND with half-up on the shortest decimal form of the double (Spark's rule)."""
-    return f"CAST(round(CAST({expr} AS DECIMAL(38,10)), {n}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST(CAST({expr} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), {n}) AS DOUBLE)"
 
 
 def sdiv(num: str, den: str) -> str:

@@ -94,6 +94,7 @@ def pitch_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linestatus") == "O", "Bot").otherwise("Top").alias("inning_topbot"),
         "home_team",
         "away_team",
+        F.col("c_nationkey").alias("home_nationkey"),
         F.when(F.col("c_acctbal") >= 5000, "L").otherwise("R").alias("stand"),
         F.when(F.col("s_acctbal") >= 5000, "L").otherwise("R").alias("p_throws"),
         events.alias("events"),
@@ -148,6 +149,7 @@ pitches AS (
     CASE WHEN l.l_linestatus = 'O' THEN 'Bot' ELSE 'Top' END AS inning_topbot,
     hn.n_name AS home_team,
     an.n_name AS away_team,
+    c.c_nationkey AS home_nationkey,
     CASE WHEN c.c_acctbal >= 5000 THEN 'L' ELSE 'R' END AS stand,
     CASE WHEN s.s_acctbal >= 5000 THEN 'L' ELSE 'R' END AS p_throws,
     l.ev AS events,
@@ -207,3 +209,126 @@ pitches AS (
   JOIN nation an ON s.s_nationkey = an.n_nationkey
 )
 """
+
+
+# --- team game log: one row per order, home = customer nation, visitor = another nation ------
+# Side 'h' counts the pitches of lines with status 'O', side 'v' those with status 'F'.
+SIDE_STATS = {
+    "AB": "ab", "H": "h", "x2B": "x2b", "x3B": "x3b", "HR": "hr", "BB": "bb", "runs": "runs",
+    "SB": "sb", "CS": "cs", "ERR": "err",
+}
+
+
+def game_log_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldline.functions.constants import HIT_EVENTS, NON_AB_EVENTS, WALK_EVENTS
+    from fieldline.functions.scalar import non_empty
+
+    p = pitch_view(spark, sf_dir)
+    ev = F.col("events")
+    pa = non_empty(ev)
+    runs = F.greatest(F.col("post_bat_score") - F.col("bat_score"), F.lit(0))
+    preds = {
+        "AB": pa & ~ev.isin(NON_AB_EVENTS), "H": pa & ev.isin(HIT_EVENTS),
+        "x2B": pa & (ev == "double"), "x3B": pa & (ev == "triple"),
+        "HR": pa & (ev == "home_run"), "BB": pa & ev.isin(WALK_EVENTS),
+        "SB": pa & (ev == "sac_bunt"), "CS": pa & (ev == "catcher_interf"),
+        "ERR": pa & (ev == "sac_fly_error"),
+    }
+    aggs = []
+    for side, status in (("h", "O"), ("v", "F")):
+        on_side = F.col("l_linestatus") == status
+        for stat, pred in preds.items():
+            aggs.append(F.count_if(on_side & pred).alias(f"{stat}_{side}"))
+        aggs.append(F.coalesce(F.sum(F.when(on_side & pa, runs)), F.lit(0)).cast("long")
+                    .alias(f"runs_{side}"))
+    g = p.groupBy(
+        "game_pk", F.col("game_date").alias("date"), F.col("game_year").alias("season"),
+        F.col("home_team").alias("team_h"), "home_nationkey",
+    ).agg(*aggs)
+    nation = load(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("_vkey"), F.col("n_name").alias("team_v"))
+    vkey = (F.col("home_nationkey") + 1 + F.col("game_pk") % 24) % 25
+    g = g.withColumn("_vkey", vkey.cast("int")).join(nation, "_vkey").drop("_vkey",
+                                                                          "home_nationkey")
+    from pyspark.sql import Window
+
+    pair_day = Window.partitionBy("date", "team_h", "team_v")
+    num = F.when(F.count(F.lit(1)).over(pair_day) > 1,
+                 F.row_number().over(pair_day.orderBy("game_pk"))).otherwise(0)
+    return g.select(
+        "game_pk", "date", "season", num.alias("game_num"), "team_h", "team_v",
+        F.col("runs_h").alias("home_score"), F.col("runs_v").alias("visiting_score"),
+        *[f"{s}_{side}" for side in ("h", "v") for s in SIDE_STATS],
+    )
+
+
+def _side_sql(side: str, status: str) -> str:
+    from fieldline.functions.constants import HIT_EVENTS, NON_AB_EVENTS, WALK_EVENTS
+
+    q = lambda xs: ", ".join(f"'{x}'" for x in xs)
+    pa = f"l_linestatus = '{status}' AND events IS NOT NULL AND events <> ''"
+    preds = {
+        "AB": f"events NOT IN ({q(NON_AB_EVENTS)})", "H": f"events IN ({q(HIT_EVENTS)})",
+        "x2B": "events = 'double'", "x3B": "events = 'triple'", "HR": "events = 'home_run'",
+        "BB": f"events IN ({q(WALK_EVENTS)})", "SB": "events = 'sac_bunt'",
+        "CS": "events = 'catcher_interf'", "ERR": "events = 'sac_fly_error'",
+    }
+    parts = [f"count(*) FILTER (WHERE {pa} AND {p}) AS {s}_{side}" for s, p in preds.items()]
+    parts.append(f"CAST(coalesce(sum(greatest(post_bat_score - bat_score, 0)) FILTER (WHERE {pa}),"
+                 f" 0) AS BIGINT) AS runs_{side}")
+    return ",\n    ".join(parts)
+
+
+GAME_LOG_SQL = f"""
+gl0 AS (
+  SELECT game_pk, game_date AS date, game_year AS season, home_team AS team_h, home_nationkey,
+    {_side_sql('h', 'O')},
+    {_side_sql('v', 'F')}
+  FROM pitches GROUP BY game_pk, game_date, game_year, home_team, home_nationkey
+),
+gl1 AS (
+  SELECT gl0.*, n.n_name AS team_v FROM gl0
+  JOIN nation n ON n.n_nationkey = (gl0.home_nationkey + 1 + gl0.game_pk % 24) % 25
+),
+games AS (
+  SELECT game_pk, date, season,
+    CASE WHEN count(*) OVER (PARTITION BY date, team_h, team_v) > 1
+         THEN row_number() OVER (PARTITION BY date, team_h, team_v ORDER BY game_pk)
+         ELSE 0 END AS game_num,
+    team_h, team_v, runs_h AS home_score, runs_v AS visiting_score,
+    {', '.join(f'{s}_h' for s in SIDE_STATS)},
+    {', '.join(f'{s}_v' for s in SIDE_STATS)}
+  FROM gl1
+)"""
+
+
+def odds_log_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The odds site's per-team game log, derived from the games (each team's own line)."""
+    g = game_log_view(spark, sf_dir)
+    line = ((F.col("game_pk") * 37) % 401 - 200).cast("double")
+    total = (F.lit(7.5) + F.col("game_pk") % 5).cast("double")
+    game = F.when(F.col("game_pk") % 10 == 0, "POST").otherwise("REG")
+    ou = F.when(F.col("home_score") + F.col("visiting_score") > total, "O").otherwise("U")
+    common = [F.col("season"), F.col("date").alias("Date"), game.alias("Game"),
+              total.alias("Total"), ou.alias("OU"), F.col("game_pk").alias("source_row")]
+    home = g.select(F.col("team_h").alias("team_source"), *common, line.alias("Line"))
+    away = g.select(F.col("team_v").alias("team_source"), *common, (-line).alias("Line"))
+    return home.unionByName(away)
+
+
+ODDS_LOG_SQL = """
+odds_log AS (
+  SELECT team_h AS team_source, season, date AS "Date",
+    CASE WHEN game_pk % 10 = 0 THEN 'POST' ELSE 'REG' END AS "Game",
+    CAST(7.5 + game_pk % 5 AS DOUBLE) AS "Total",
+    CASE WHEN home_score + visiting_score > 7.5 + game_pk % 5 THEN 'O' ELSE 'U' END AS "OU",
+    game_pk AS source_row, CAST((game_pk * 37) % 401 - 200 AS DOUBLE) AS "Line"
+  FROM games
+  UNION ALL
+  SELECT team_v, season, date,
+    CASE WHEN game_pk % 10 = 0 THEN 'POST' ELSE 'REG' END,
+    CAST(7.5 + game_pk % 5 AS DOUBLE),
+    CASE WHEN home_score + visiting_score > 7.5 + game_pk % 5 THEN 'O' ELSE 'U' END,
+    game_pk, -CAST((game_pk * 37) % 401 - 200 AS DOUBLE)
+  FROM games
+)"""
