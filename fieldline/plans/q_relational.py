@@ -1 +1,335 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: filters, semi/anti joins, ids, pair history, dedup, rosters, dimensions."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from fieldline.functions import constants as K
+from fieldline.functions.scalar import key_text, roster_hash
+from fieldline.operators import incremental as I
+from fieldline.operators import merge as M
+from fieldline.operators import rollup
+from fieldline.plans import sqlgen as S
+from fieldline.plans.q_features import _batter_features_sql, batter_games, pitcher_games
+from fieldline.plans.registry import register, with_pitches
+from fieldline.plans.views import load, pitch_view
+from fieldline.sources.calendar import active_span_grid
+
+PG = S.pitcher_game_cte()
+BG = S.batter_game_cte()
+D_PG = "(SELECT max(game_date) FROM pg)"
+D_BG = "(SELECT max(game_date) FROM bg)"
+RELIEVERS_SQL = f"SELECT DISTINCT mlbam_id FROM pg WHERE game_date >= {D_PG} - INTERVAL 7 DAY AND gs = 0"
+
+
+def _relievers(pg):
+    day = I.as_of_date(pg)
+    return I.recent_ids(pg, day, K.RECENT_RELIEVER_DAYS, where=F.col("gs") == 0)
+
+
+# --- P15, A15 ------------------------------------------------------------------------------------
+@register("recent_inactive_ids", with_pitches(PG, body=RELIEVERS_SQL))
+def q_recent_inactive_ids(spark, sf_dir):
+    return _relievers(pitcher_games(spark, sf_dir))
+
+
+# --- T5 ------------------------------------------------------------------------------------------
+@register("id_union", with_pitches(PG, body=f"""
+SELECT mlbam_id FROM pg WHERE game_date = {D_PG} UNION {RELIEVERS_SQL}"""))
+def q_id_union(spark, sf_dir):
+    pg = pitcher_games(spark, sf_dir)
+    today = I.ids_on_date(pg, I.as_of_date(pg))
+    return today.union(_relievers(pg)).distinct()
+
+
+# --- P12, J5, F12 ---------------------------------------------------------------------------------
+@register("lookback_semi", with_pitches(PG, body=f"""
+SELECT * FROM pg WHERE game_date >= {D_PG} - INTERVAL 365 DAY
+  AND mlbam_id IN ({RELIEVERS_SQL})"""))
+def q_lookback_semi(spark, sf_dir):
+    pg = pitcher_games(spark, sf_dir)
+    return I.lookback(pg, _relievers(pg), I.as_of_date(pg), K.ROLLING_LOOKBACK_DAYS)
+
+
+# --- P13 -----------------------------------------------------------------------------------------
+@register("active_on_date_history", with_pitches(BG, body=f"""
+SELECT * FROM bg WHERE game_date >= {D_BG} - INTERVAL 365 DAY
+  AND mlbam_id IN (SELECT mlbam_id FROM bg WHERE game_date = {D_BG})"""))
+def q_active_on_date_history(spark, sf_dir):
+    bg = batter_games(spark, sf_dir)
+    day = I.as_of_date(bg)
+    return I.lookback(bg, I.ids_on_date(bg, day), day, K.ROLLING_LOOKBACK_DAYS)
+
+
+# --- P14 -----------------------------------------------------------------------------------------
+@register("year_slice", with_pitches(BG, body="SELECT * FROM bg WHERE year(game_date) = 1998"))
+def q_year_slice(spark, sf_dir):
+    return I.year_slice(batter_games(spark, sf_dir), 1998)
+
+
+# --- A13, W12: running pair history --------------------------------------------------------------
+PAIR_SQL = f"""
+pair_games AS (
+  SELECT batter, pitcher, game_date, game_pk, count(*) AS pa,
+    CAST(sum(CASE WHEN events = 'home_run' THEN 1 ELSE 0 END) AS BIGINT) AS hr
+  FROM pitches WHERE {S.PA} GROUP BY batter, pitcher, game_date, game_pk
+)"""
+
+
+def _rebuild_sql(where: str = "") -> str:
+    frame = ("OVER (PARTITION BY batter, pitcher ORDER BY game_date, game_pk "
+             "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+    return (f"SELECT batter, pitcher, game_date, game_pk, pa, hr, "
+            f"CAST(sum(pa) {frame} AS BIGINT) AS bvp_pa_prior, "
+            f"CAST(sum(hr) {frame} AS BIGINT) AS bvp_hr_prior FROM pair_games {where}")
+
+
+@register("pair_history_cumulative", with_pitches(PAIR_SQL, body=_rebuild_sql()))
+def q_pair_history_cumulative(spark, sf_dir):
+    return I.pair_history_rebuild(rollup.pair_game_rollup(pitch_view(spark, sf_dir)))
+
+
+# --- J1, W9, I4: one day's increment against the stored history -----------------------------------
+D_PAIR = "(SELECT max(game_date) FROM pair_games)"
+PAIR_INC_SQL = f"""
+history AS ({_rebuild_sql(f"WHERE game_date < {D_PAIR}")}),
+prior AS (
+  SELECT batter, pitcher, bvp_pa_prior, bvp_hr_prior FROM (
+    SELECT *, row_number() OVER (PARTITION BY batter, pitcher
+                                 ORDER BY game_date DESC, game_pk DESC) AS rn
+    FROM history) WHERE rn = 1
+),
+increment AS (
+  SELECT p.batter, p.pitcher, p.game_date, p.game_pk, p.pa, p.hr,
+    CAST(coalesce(pr.bvp_pa_prior, 0) + p.pa AS BIGINT) AS bvp_pa_prior,
+    CAST(coalesce(pr.bvp_hr_prior, 0) + p.hr AS BIGINT) AS bvp_hr_prior
+  FROM (SELECT * FROM pair_games WHERE game_date = {D_PAIR}) p
+  LEFT JOIN prior pr ON p.batter = pr.batter AND p.pitcher = pr.pitcher
+)"""
+
+
+def pair_increment(spark, sf_dir):
+    pairs = rollup.pair_game_rollup(pitch_view(spark, sf_dir))
+    day = I.as_of_date(pairs)
+    history = I.pair_history_rebuild(pairs.filter(F.col("game_date") < day))
+    return pairs, history, I.pair_history_increment(pairs.filter(F.col("game_date") == day),
+                                                    history)
+
+
+@register("pair_history", with_pitches(PAIR_SQL, PAIR_INC_SQL, body="SELECT * FROM increment"))
+def q_pair_history(spark, sf_dir):
+    return pair_increment(spark, sf_dir)[2]
+
+
+# --- A18, A19, W9: newest copy per pitch key ------------------------------------------------------
+DEDUP_TIE = ["pitcher", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+             "l_linestatus", "l_shipdate"]
+
+
+@register("dedup_latest", with_pitches(body=f"""
+SELECT game_pk, at_bat_number, pitch_number, pitcher, events, _loaded_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY game_pk, at_bat_number, pitch_number
+    ORDER BY _loaded_at DESC NULLS LAST, {', '.join(DEDUP_TIE)}) AS rn
+  FROM pitches) WHERE rn = 1"""))
+def q_dedup_latest(spark, sf_dir):
+    p = pitch_view(spark, sf_dir)
+    d = M.dedup_latest(p, ["game_pk", "at_bat_number", "pitch_number"], ["_loaded_at"], DEDUP_TIE)
+    return d.select("game_pk", "at_bat_number", "pitch_number", "pitcher", "events", "_loaded_at")
+
+
+# --- P21, T2: recent leaders (top 20 is the feature) ---------------------------------------------
+@register("recent_top", f"""
+SELECT mlbam_id, game_date, barrel_162, ev_162, hr_per_pa_162 FROM ({_batter_features_sql()}) f
+WHERE game_date >= (SELECT max(game_date) FROM ({_batter_features_sql()}) x) - INTERVAL 7 DAY
+ORDER BY hr_per_pa_162 DESC NULLS LAST, mlbam_id, game_date LIMIT 20""")
+def q_recent_top(spark, sf_dir):
+    from fieldline.operators.rolling import batter_rolling_features
+
+    f = batter_rolling_features(batter_games(spark, sf_dir))
+    day = I.as_of_date(f)
+    recent = f.filter(F.col("game_date") >= F.date_sub(day, 7))
+    return (recent.orderBy(F.col("hr_per_pa_162").desc_nulls_last(), "mlbam_id", "game_date")
+            .limit(20).select("mlbam_id", "game_date", "barrel_162", "ev_162", "hr_per_pa_162"))
+
+
+# --- S4, F8, J7: rosters, hashes, change detection ----------------------------------------------
+def lineup_rows(p, where=None):
+    if where is not None:
+        p = p.filter(where)
+    b = p.select("game_pk", F.col("batter").alias("player_id"), F.lit("batter").alias("role"))
+    q = p.select("game_pk", F.col("pitcher").alias("player_id"), F.lit("pitcher").alias("role"))
+    return b.unionByName(q)
+
+
+ROSTER_SQL = """
+lineup AS (
+  SELECT game_pk, batter AS player_id, 'batter' AS role FROM pitches
+  UNION ALL SELECT game_pk, pitcher, 'pitcher' FROM pitches
+),
+rosters AS (
+  SELECT game_pk,
+    list_sort(list(DISTINCT player_id) FILTER (WHERE role = 'batter')) AS batter_ids,
+    list_sort(list(DISTINCT player_id) FILTER (WHERE role = 'pitcher')) AS pitcher_ids
+  FROM lineup GROUP BY game_pk
+),
+hashed AS (
+  SELECT *, md5(array_to_string(list_sort(CAST(list_concat(batter_ids, pitcher_ids)
+                AS VARCHAR[])), '|')) AS lineup_hash FROM rosters
+)"""
+STORED_SQL = """
+stored AS (
+  SELECT game_pk, md5(array_to_string(list_sort(CAST(list_concat(
+      list(DISTINCT batter), list(DISTINCT pitcher)) AS VARCHAR[])), '|'))
+      AS lineup_hash
+  FROM pitches WHERE l_returnflag <> 'R' AND game_pk % 3 <> 0 GROUP BY game_pk
+)"""
+
+
+def rosters(spark, sf_dir):
+    return I.with_roster_hash(I.roster_sets(lineup_rows(pitch_view(spark, sf_dir))))
+
+
+def stored_checkpoints(spark, sf_dir):
+    p = pitch_view(spark, sf_dir).filter((F.col("l_returnflag") != "R")
+                                         & (F.col("game_pk") % 3 != 0))
+    return I.with_roster_hash(I.roster_sets(lineup_rows(p))).select("game_pk", "lineup_hash")
+
+
+@register("roster_sets", with_pitches(ROSTER_SQL, body="SELECT game_pk, batter_ids, pitcher_ids FROM rosters"))
+def q_roster_sets(spark, sf_dir):
+    return I.roster_sets(lineup_rows(pitch_view(spark, sf_dir)))
+
+
+@register("roster_hash", with_pitches(ROSTER_SQL, body="SELECT game_pk, lineup_hash FROM hashed"))
+def q_roster_hash(spark, sf_dir):
+    return rosters(spark, sf_dir).select("game_pk", "lineup_hash")
+
+
+@register("changed_rosters", with_pitches(ROSTER_SQL, STORED_SQL, body="""
+SELECT h.game_pk, h.lineup_hash FROM hashed h LEFT JOIN stored s ON h.game_pk = s.game_pk
+WHERE s.lineup_hash IS DISTINCT FROM h.lineup_hash"""))
+def q_changed_rosters(spark, sf_dir):
+    cur = rosters(spark, sf_dir).select("game_pk", "lineup_hash")
+    return I.changed_rosters(cur, stored_checkpoints(spark, sf_dir))
+
+
+# --- S5: qualified players -----------------------------------------------------------------------
+@register("qualified_customers", with_pitches(PG, body=f"""
+SELECT mlbam_id, season, 'bfp' AS kind FROM (
+  SELECT mlbam_id, year(game_date) AS season, sum(bfp) AS v FROM pg GROUP BY 1, 2)
+WHERE coalesce(v, 0) >= {K.MIN_BATTER_PA}
+UNION ALL
+SELECT mlbam_id, season, 'gs' FROM (
+  SELECT mlbam_id, year(game_date) AS season, sum(gs) AS v FROM pg GROUP BY 1, 2)
+WHERE coalesce(v, 0) >= {K.MIN_PITCHER_GS}"""))
+def q_qualified_customers(spark, sf_dir):
+    per = pitcher_games(spark, sf_dir).groupBy("mlbam_id", F.year("game_date").alias("season")) \
+        .agg(F.sum("bfp").alias("bfp"), F.sum("gs").alias("gs"))
+    a = I.qualified(per, "bfp", K.MIN_BATTER_PA).select("mlbam_id", "season",
+                                                        F.lit("bfp").alias("kind"))
+    b = I.qualified(per, "gs", K.MIN_PITCHER_GS).select("mlbam_id", "season",
+                                                       F.lit("gs").alias("kind"))
+    return a.unionByName(b)
+
+
+# --- J6, F15: resume a backfill from its done keys ----------------------------------------------
+@register("resume_anti", with_pitches(PG, body="""
+SELECT mlbam_id, season, CAST(mlbam_id AS VARCHAR) || '_' || CAST(season AS VARCHAR) AS work_key
+FROM (SELECT DISTINCT mlbam_id, year(game_date) AS season FROM pg) a
+WHERE CAST(mlbam_id AS VARCHAR) || '_' || CAST(season AS VARCHAR) NOT IN (
+  SELECT CAST(mlbam_id AS VARCHAR) || '_' || CAST(year(game_date) AS VARCHAR) FROM pg
+  WHERE year(game_date) <= 1997)"""))
+def q_resume_anti(spark, sf_dir):
+    pg = pitcher_games(spark, sf_dir).select("mlbam_id", F.year("game_date").alias("season"))
+    work = pg.distinct()
+    done = pg.filter(F.col("season") <= 1997).select(
+        key_text("mlbam_id", "season").alias("work_key"))
+    return I.remaining_work(work, done, ["mlbam_id", "season"])
+
+
+# --- S9, S10 -------------------------------------------------------------------------------------
+@register("high_water_mark", with_pitches(body="SELECT max(game_date) AS max_loaded FROM pitches"))
+def q_high_water_mark(spark, sf_dir):
+    from fieldline.sources.tables import max_loaded
+
+    return max_loaded(pitch_view(spark, sf_dir), "game_date")
+
+
+@register("sql_passthrough", with_pitches(body="""
+SELECT game_year, count(*) AS pitches, count(DISTINCT pitcher) AS pitchers
+FROM pitches GROUP BY game_year"""))
+def q_sql_passthrough(spark, sf_dir):
+    from fieldline.sources.tables import run_sql
+
+    pitch_view(spark, sf_dir).createOrReplaceTempView("pitches")
+    return run_sql(spark, "SELECT game_year, count(*) AS pitches, "
+                          "count(DISTINCT pitcher) AS pitchers FROM pitches GROUP BY game_year")
+
+
+# --- J10: dimension map (bounded 30-row list, broadcast) ---------------------------------------
+SITE_SQL = ", ".join(f"({K.ODDS_SITE_FIRST_NUMBER + i}, '{t}')"
+                     for i, t in enumerate(K.ODDS_SITE_TEAMS))
+
+
+def site_map(spark):
+    rows = [(K.ODDS_SITE_FIRST_NUMBER + i, t) for i, t in enumerate(K.ODDS_SITE_TEAMS)]
+    return spark.createDataFrame(rows, "site_number long, team_code string")
+
+
+@register("dim_map", f"""
+WITH site AS (SELECT * FROM (VALUES {SITE_SQL}) t(site_number, team_code))
+SELECT o.o_orderkey, s.team_code FROM orders o
+JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN site s ON s.site_number = {K.ODDS_SITE_FIRST_NUMBER} + c.c_nationkey""")
+def q_dim_map(spark, sf_dir):
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    site = F.broadcast(site_map(spark))  # fixed 30 rows: a proven bound
+    j = o.join(c, o.o_custkey == c.c_custkey)
+    j = j.join(site, F.col("site_number") == F.lit(K.ODDS_SITE_FIRST_NUMBER) + F.col("c_nationkey"))
+    return j.select("o_orderkey", "team_code")
+
+
+# --- J9: validity-interval join, S13/J8: per-team season grid -----------------------------------
+TEAM_SEASON_SQL = """
+ts AS (
+  SELECT o.o_orderkey, n.n_name AS team, CAST(year(o.o_orderdate) AS INTEGER) AS season,
+    o.o_orderstatus
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey
+),
+validity AS (
+  SELECT team, min(season) AS from_season, max(season) AS to_season FROM ts
+  WHERE o_orderstatus = 'F' AND season BETWEEN 1996 AND 2000 GROUP BY team
+)"""
+
+
+def team_seasons(spark, sf_dir):
+    o = load(spark, sf_dir, "orders")
+    c = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    j = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    return j.select("o_orderkey", F.col("n_name").alias("team"),
+                    F.year("o_orderdate").alias("season"), "o_orderstatus")
+
+
+@register("validity_range_join", f"""
+WITH {TEAM_SEASON_SQL.strip()}
+SELECT t.o_orderkey, t.team, t.season FROM ts t JOIN validity v
+  ON t.team = v.team AND t.season BETWEEN v.from_season AND v.to_season""")
+def q_validity_range_join(spark, sf_dir):
+    ts = team_seasons(spark, sf_dir)
+    validity = (ts.filter((F.col("o_orderstatus") == "F") & F.col("season").between(1996, 2000))
+                .groupBy("team").agg(F.min("season").alias("from_season"),
+                                     F.max("season").alias("to_season")))
+    j = ts.join(validity, "team")
+    return j.filter(F.col("season").between(F.col("from_season"), F.col("to_season"))) \
+        .select("o_orderkey", "team", "season")
+
+
+@register("entity_period_grid", f"""
+WITH {TEAM_SEASON_SQL.strip()}
+SELECT team, CAST(unnest(range(min(season), max(season) + 1)) AS INTEGER) AS season
+FROM ts GROUP BY team""")
+def q_entity_period_grid(spark, sf_dir):
+    return active_span_grid(team_seasons(spark, sf_dir), "team")
