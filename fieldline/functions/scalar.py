@@ -91,7 +91,7 @@ def lenient_number(c: str | Column, to: str = "double") -> Column:
 
 def lenient_date(c: str | Column, fmt: str = "yyyy-MM-dd") -> Column:
     """Parse a date with an explicit format; unparsable text becomes NULL."""
-    return F.try_to_date(col(c).cast("string"), F.lit(fmt))
+    return F.try_to_date(col(c).cast("string"), fmt)
 
 
 def null_if_nan(c: str | Column, data_type: str) -> Column:
