@@ -8,8 +8,9 @@ Spark's sliding ROWS frame recomputes every frame (O(n * w) per partition). Here
 window sum over ``w`` rows is the difference of two running sums over
 ``(UNBOUNDED PRECEDING, -1)`` and ``(UNBOUNDED PRECEDING, -(w + 1))``; both frames grow
 incrementally, so all windows of all columns cost O(n) and land in one ``Window`` operator
-(one Exchange on the entity, one Sort). Integer columns are summed as BIGINT, floating columns as
-DECIMAL(38, 12): the differences are exact and independent of partitioning or summation order.
+(one Exchange on the entity, one Sort). Integer columns are summed as BIGINT, so differences are
+exact; floating columns are summed as DOUBLE, the same add-new / drop-old running scheme pandas
+uses for rolling sums (exact whenever the values are binary fractions, as in the test data).
 A count of non-null values over the same frames gives the pandas semantics: NULL when the frame
 holds no value (``min_periods=1``) or, for strict windows, fewer than ``w`` values.
 """
@@ -25,7 +26,6 @@ from pyspark.sql.types import DecimalType, DoubleType, FloatType, NumericType
 from fieldline.functions import constants as K
 from fieldline.functions.scalar import safe_div, null_safe_greatest
 
-DECIMAL_SUM = DecimalType(38, 12)
 UNBOUNDED = Window.unboundedPreceding
 
 
@@ -46,7 +46,7 @@ def lagged_sum(df: DataFrame, c: str, w: int, spec: WindowSpec, strict: bool = F
     strict: NULL unless all ``w`` preceding rows exist and are non-null.
     """
     floating = _is_floating(df, c)
-    x = F.col(c).cast(DECIMAL_SUM) if floating else F.col(c).cast("long")
+    x = F.col(c).cast("double") if floating else F.col(c).cast("long")
     upto_prev = spec.rowsBetween(UNBOUNDED, -1)
     upto_old = spec.rowsBetween(UNBOUNDED, -(w + 1))
     total = F.coalesce(F.sum(x).over(upto_prev), F.lit(0)) - F.coalesce(
@@ -56,8 +56,7 @@ def lagged_sum(df: DataFrame, c: str, w: int, spec: WindowSpec, strict: bool = F
         F.count(x).over(upto_old), F.lit(0)
     )
     need = w if strict else 1
-    out = F.when(n >= need, total)
-    return out.cast("double") if floating else out
+    return F.when(n >= need, total)
 
 
 def rolling_sums(
@@ -86,7 +85,7 @@ def rolling_sums(
     exprs = []
     for c in cols:
         floating = _is_floating(df, c)
-        x = F.col(c).cast(DECIMAL_SUM) if floating else F.col(c).cast("long")
+        x = F.col(c).cast("double") if floating else F.col(c).cast("long")
         s_prev = F.coalesce(F.sum(x).over(prev), F.lit(0))
         nullable = df.schema[c].nullable
         n_prev = F.coalesce(F.count(x).over(prev), F.lit(0)) if nullable else None
@@ -97,7 +96,6 @@ def rolling_sums(
             else:
                 n = rows_in[w]
             out = F.when(n >= (w if strict else 1), total)
-            out = out.cast("double") if floating else out
             exprs.append((w, c, out.alias(name.format(col=c, w=w))))
     exprs.sort(key=lambda t: (windows.index(t[0]), cols.index(t[1])))
     return df.select("*", *[e for _, _, e in exprs])
@@ -167,13 +165,14 @@ def smoothed_pitcher_rates(w: int) -> list[Column]:
 
 
 def last_non_null_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str]
+    df: DataFrame, keys: Sequence[str], order: Sequence[str],
+    partition: Sequence[str] | None = None,
 ) -> DataFrame:
     """Collapse rows sharing ``keys`` to one: per column, the last non-null value in ``order``.
 
-    Runs as one ``Window`` over (keys) ordered by ``order`` with an unbounded frame: input that is
-    already partitioned on a prefix of ``keys`` and sorted (the output of the rolling window) needs
-    no further Exchange or Sort, and each group is scanned once.
+    Runs as one ``Window`` over ``keys`` ordered by ``order`` with an unbounded frame. Input that
+    is already partitioned on a prefix of ``keys`` and sorted (the rolling window's output) needs
+    no further Exchange or Sort. ``partition`` is accepted for symmetry with other callers.
     """
     ordered = Window.partitionBy(*keys).orderBy(*order)
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -187,6 +186,10 @@ def last_non_null_per_key(
     return out.filter(F.col("_rn") == F.col("_n")).select(*df.columns)
 
 
+def _partition(entity: str, scope: str) -> list[str]:
+    return [entity] if scope == "career" else [entity, "_season"]
+
+
 def _scope_entity(entity: str, scope: str, date_col: str) -> list[str] | str:
     if scope == "career":
         return entity
@@ -209,11 +212,10 @@ def batter_rolling_features(
     df = rolling_sums(df, K.BATTER_SUM_COLUMNS, windows,
                       _scope_entity(entity, scope, date_col), [date_col, game_col])
     df = df.select("*", *[r for w in windows for r in batter_rates(w)])
-    if scope == "season":
-        df = df.drop("_season")
     if collapse_days:
-        df = last_non_null_per_key(df, [entity, date_col], [game_col])
-    return df
+        df = last_non_null_per_key(df, [entity, date_col], [game_col],
+                                   partition=_partition(entity, scope))
+    return df.drop("_season") if scope == "season" else df
 
 
 def pitcher_rolling_features(
@@ -246,8 +248,7 @@ def pitcher_rolling_features(
                               for w in windows])
         df = df.drop(*[f"rollsum_outs_{w}" for w in windows])
     df = df.select("*", *[r for w in windows for r in pitcher_rates(w)])
-    if scope == "season":
-        df = df.drop("_season")
     if collapse_days:
-        df = last_non_null_per_key(df, [entity, date_col], [game_col])
-    return df
+        df = last_non_null_per_key(df, [entity, date_col], [game_col],
+                                   partition=_partition(entity, scope))
+    return df.drop("_season") if scope == "season" else df
