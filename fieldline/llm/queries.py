@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from fieldline.llm import quality
 from fieldline.llm.common import read_table
+from fieldline.llm.packing import pack_documents
 from fieldline.llm.simhash import simhash_dedup
+from fieldline.llm.substring import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,6 +23,26 @@ def query(fn):
     return fn
 
 
+@query
+def op2_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit_quality(docs, read_table(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, model).select(
+        "doc_id", F.expr(f"coalesce({quality.HELD_OUT}, false)").alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash_dedup(read_table(spark, sf_dir, "documents"), shingle=3, radius=3)
