@@ -122,7 +122,7 @@ def _forward(w, x, bags):
 
 def _gradients(w, x, bags, y, decay):
     f = _forward(w, x, bags)
-    up = (f["score"] - y) / len(y)
+    up = ((f["score"] - y) / len(y)).astype(x.dtype)
     dz = np.repeat(up[:, None] * w["c"], f["size"], axis=0)
     da = (dz * f["h"]).sum(axis=1)
     de = f["a"] * (da - np.repeat(np.add.reduceat(f["a"] * da, bags), f["size"]))
@@ -133,7 +133,7 @@ def _gradients(w, x, bags, y, decay):
     return {k: v + decay * w[k] for k, v in out.items()}
 
 
-def fit_attention(bags: list[np.ndarray], y: np.ndarray, hidden: int = 24, gate: int = 12, steps: int = 400,
+def fit_attention(bags: list[np.ndarray], y: np.ndarray, hidden: int = 24, gate: int = 12, steps: int = 200,
                   rate: float = 0.02, decay: float = 1e-4) -> AttentionModel:
     """Fit on bags of encoded passages with 0/1 labels (full-batch Adam, fixed seed)."""
     y = np.asarray(y, np.float64)
@@ -142,17 +142,18 @@ def fit_attention(bags: list[np.ndarray], y: np.ndarray, hidden: int = 24, gate:
     x = np.concatenate(bags).astype(np.float64)
     first = np.cumsum([0, *map(len, bags[:-1])])
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-3
-    x = np.clip((x - mean) / scale, -8, 8)
+    x = np.clip((x - mean) / scale, -8, 8).astype(np.float32)
     rng = np.random.default_rng(0)
     shape = {"W": (x.shape[1], hidden), "V": (hidden, gate), "U": (hidden, gate), "w": (gate,), "c": (hidden,)}
     w = {k: rng.normal(0, s[0] ** -0.5, s) for k, s in shape.items()} | {"b": np.zeros(hidden), "d": np.zeros(1)}
+    w = {k: p.astype(np.float32) for k, p in w.items()}
     m, v = ({k: np.zeros_like(p) for k, p in w.items()} for _ in range(2))
     for step in range(1, steps + 1):
         for k, g in _gradients(w, x, first, y, decay).items():
             m[k] = 0.9 * m[k] + 0.1 * g
             v[k] = 0.999 * v[k] + 0.001 * g * g
             w[k] = w[k] - rate * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.999 ** step)) + 1e-8)
-    return AttentionModel(float(y.mean()), mean, scale, w)
+    return AttentionModel(float(y.mean()), mean, scale, {k: p.astype(np.float64) for k, p in w.items()})
 
 
 def _encoded_batches(max_passages: int):

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldline.llm import quality
+from fieldline.llm import mixing, quality
 from fieldline.llm.common import read_table
 from fieldline.llm.packing import pack_documents
 from fieldline.llm.simhash import simhash_dedup
@@ -33,6 +33,15 @@ def op2_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_soft_membership_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = mixing.fit_domains(docs, mixing.toxicity_domains(read_table(spark, sf_dir, "labels")))
+    rates = mixing.document_rates(docs, model, mixing.TARGET_WEIGHTS, anchor="clean")
+    toxic = F.col("posteriors")[model.domains.index("toxic")] if "toxic" in model.domains else F.lit(0.0)
+    return rates.select("doc_id", "n_tokens", toxic.alias("p_toxic"), "rate", "copies")
+
+
 @query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
