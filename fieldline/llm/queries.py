@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fieldline.llm import mixing, quality
 from fieldline.llm.common import read_table
+from fieldline.llm.html import extract_text
 from fieldline.llm.packing import pack_documents
 from fieldline.llm.simhash import simhash_dedup
 from fieldline.llm.substring import substring_dedup
@@ -23,6 +24,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(read_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @query
 def op2_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
