@@ -14,6 +14,7 @@ from fieldline.llm.html import extract_text
 from fieldline.llm.packing import pack_documents
 from fieldline.llm.simhash import simhash_dedup
 from fieldline.llm.substring import substring_dedup
+from fieldline.llm.vector_dedup import near_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,6 +40,11 @@ def op2_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_flat_graph_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(read_table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 @query
 def op6_soft_membership_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
