@@ -22,14 +22,20 @@ ODD = ["", " ", "  ", "\n", " a", "a ", "a  b", "a \n b", "a\n b\n", "x\t y", "i
        "a\x1c b", "\x1c a", "a\u0085 b", "<|endoftext|>", "x <|endoftext|> y", "漢字 かな  🙂🙂 é", "12 345  6", "a​ b", "᠎ b"]
 
 
-def test_unit_tokenizer_equals_whole_text(plain):
+def test_ids_equal_those_of_tokenizers(plain):
     rng = random.Random(1)
-    alphabet = [" ", " ", "  ", "\n", "\t", "a", "the", "Is", "'s", "é", "ß", "9", "!", " ", " ", "\x1d", "漢", "_", "<|endoftext|>"]
+    alphabet = [" ", " ", "  ", "\n", "\t", "a", "the", "Is", "'s", "é", "ß", "9", "!", "\u00a0", "\u2003", "\x1d", "漢", "_", "<|endoftext|>"]
     texts = ODD + ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(1500)]
-    unit = P.UnitTokenizer(PATH)
-    for _ in range(2):
-        got = [np.frombuffer(b, "<u4").tolist() for b in unit(texts)]
-        assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    texts += ["".join(chr(rng.choice((rng.randrange(0x20, 0x3000), rng.randrange(0x1F000, 0x1FB00)))) for _ in range(80)) for _ in range(300)]
+    texts += ["ab" * 3000, "a b " * 3000, "\n" * 5000]
+    fast = P.ByteBpe(PATH)
+    assert fast.fast is not None
+    for t in texts:
+        assert np.frombuffer(fast(t), "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids
+    other = P.ByteBpe(public_tokenizers.path("word_bpe_49k.json"))
+    assert other.fast is None
+    word = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    assert np.frombuffer(other("Some Words here"), "<u4").tolist() == word.encode("Some Words here", add_special_tokens=False).ids
 
 
 def test_cut_pieces():
