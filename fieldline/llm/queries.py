@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fieldline.llm import mixing, quality
 from fieldline.llm.common import read_table
 from fieldline.llm.html import extract_text
+from fieldline.llm.nearest import nearest_neighbours
 from fieldline.llm.packing import pack_documents
 from fieldline.llm.simhash import simhash_dedup
 from fieldline.llm.substring import substring_dedup
@@ -45,6 +46,11 @@ def op3_flat_graph_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(read_table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+@query
+def op5_adaptive_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(read_table(spark, sf_dir, "embeddings"), "pmod(vec_id, 100) = 0", k=10)
+
+
 @query
 def op6_soft_membership_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
