@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldline.llm import mixing, quality
+from fieldline.llm import mixing, quality, warc
 from fieldline.llm.common import read_table
 from fieldline.llm.html import extract_text
 from fieldline.llm.nearest import nearest_neighbours
@@ -60,6 +60,20 @@ def op6_soft_membership_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.select("doc_id", "n_tokens", toxic.alias("p_toxic"), "rate", "copies")
 
 
+@query
+def op7_merkle_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    own, replica = (warc.manifest(warc.page_records(p)) for p in (pages, warc.damaged_replica(pages)))
+    ids = own.select("file_id", "record_id", "copy", "page_id")
+    return warc.fixity_audit(own, replica).join(ids, ["file_id", "record_id", "copy"], "left").select(
+        "file_id", "page_id", F.col("offset").alias("offset_a"), F.col("length").alias("length_a"),
+        F.col("replica_offset").alias("offset_b"), F.col("replica_length").alias("length_b"), "status",
+    )
+
+
+ORACLES["op7_merkle_fixity_audit"] = warc.ORACLE_SQL
+
+
 @query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
