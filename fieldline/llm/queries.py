@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldline.llm import mixing, quality, warc
+from fieldline.llm import chat, mixing, quality, warc
 from fieldline.llm.common import read_table
 from fieldline.llm.html import extract_text
 from fieldline.llm.nearest import nearest_neighbours
@@ -46,6 +46,13 @@ def op3_flat_graph_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(read_table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+@query
+def op4_transcript_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = chat.transcript_lines(read_table(spark, sf_dir, "conversations"))
+    model = chat.fit_roles(lines.where("crc32(cast(conv_id as string)) % 5 != 0"))
+    return chat.format_chat(lines, model)
+
+
 @query
 def op5_adaptive_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(read_table(spark, sf_dir, "embeddings"), "pmod(vec_id, 100) = 0", k=10)
