@@ -15,6 +15,7 @@ from fieldline.functions import constants as K
 from fieldline.operators import incremental as I
 from fieldline.operators import merge as M
 from fieldline.operators import rollup, rolling
+from fieldline.session import materialize
 from fieldline.sources import tables as TB
 
 GAME_KEYS = ["mlbam_id", "game_date", "game_pk"]
@@ -30,15 +31,19 @@ def daily_player_games(spark: SparkSession, pitches: DataFrame, batter_table: st
                     partition_by=["game_date"])
 
 
-# I2: replace a date's raw pitches
-def daily_pitches(spark: SparkSession, pitches: DataFrame, table: str, source: str) -> None:
+# I2: replace the raw pitches of whole dates
+def daily_pitches(spark: SparkSession, pitches: DataFrame, table: str, source: str,
+                  loaded_at: dt.datetime | None = None) -> None:
+    """``loaded_at`` marks the rows of this load; rows that carry a mark already keep it."""
+    if "_loaded_at" not in pitches.columns:
+        pitches = pitches.withColumn("_loaded_at", F.lit(loaded_at).cast("timestamp_ntz"))
     latest = M.dedup_latest(pitches, ["game_pk", "at_bat_number", "pitch_number"], ["_loaded_at"])
     TB.replace_slice_table(spark, latest.withColumn("_source", F.lit(source)), table, ["game_date"])
 
 
-# I3 / I8: game results from schedule payloads, upserted on game_pk (newest load wins)
+# I3 / I8: game results from schedule payloads, one row per game_pk (newest load wins)
 def game_results(spark: SparkSession, results: DataFrame, table: str) -> None:
-    TB.upsert_table(spark, results.dropDuplicates(["game_pk"]), table, ["game_pk"])
+    TB.merge_latest_table(spark, results, table, ["game_pk"], ["_loaded_at"])
 
 
 # I4: pair history for one date (insert-only; a re-run adds nothing)
@@ -47,29 +52,35 @@ def pair_history(spark: SparkSession, pitches: DataFrame, history_table: str,
     day = rollup.pair_game_rollup(pitches.filter(F.col("game_date") == F.lit(as_of)))
     if not TB.table_exists(spark, history_table):
         return TB.append(I.pair_history_rebuild(day), history_table)
-    history = spark.read.parquet(history_table).filter(F.col("game_date") < F.lit(as_of))
+    history = TB.read_table(spark, history_table).filter(F.col("game_date") < F.lit(as_of))
     inc = I.pair_history_increment(day, history)
     return TB.merge_insert_only_table(spark, inc, history_table, PAIR_KEYS)
 
 
 # I5 / I11: feature recompute in four modes, written for the target dates only
 def compute_features(spark: SparkSession, games: DataFrame, kind: str,
-                     ids: Sequence[int] | None = None, game_date: dt.date | None = None,
+                     ids: DataFrame | Sequence[int] | None = None, game_date: dt.date | None = None,
                      year: int | None = None, allow_full_recompute: bool = False,
                      history_days: int | None = None) -> DataFrame | str:
     """Return the feature rows to write, or ``"skipped"`` when nothing selects the work.
 
+    ``ids`` is a frame with a column mlbam_id (joined, so it may be of any size) or a list; None means
+    no selection by id, an empty list that nobody is selected, which never widens to everybody.
     History read before the target is long enough for the largest window (``history_days``,
     default: all of it), so incremental rows equal a full recompute; only target rows are
     returned.
     """
-    if not ids and not year and not game_date and not allow_full_recompute:
+    if isinstance(ids, (list, tuple, set)) and not ids and not allow_full_recompute:
+        return "skipped"
+    if ids is None and not year and not game_date and not allow_full_recompute:
         return "skipped"
     windows = K.BATTER_WINDOWS if kind == "batter" else K.PITCHER_WINDOWS
     build = (rolling.batter_rolling_features if kind == "batter"
              else rolling.pitcher_rolling_features)
     src = games
-    if ids:
+    if isinstance(ids, DataFrame):
+        src = src.join(ids.select("mlbam_id"), "mlbam_id", "left_semi")
+    elif ids:
         src = src.filter(F.col("mlbam_id").isin(list(ids)))
     elif game_date is not None:
         active = I.ids_on_date(games, F.lit(game_date))
@@ -84,12 +95,31 @@ def compute_features(spark: SparkSession, games: DataFrame, kind: str,
     return feats
 
 
+def write_features(spark: SparkSession, games: DataFrame, kind: str, table: str, **target) -> str:
+    """I5: ``compute_features`` stored on (id, date, game); "skipped" or "written"."""
+    feats = compute_features(spark, games, kind, **target)
+    if isinstance(feats, str):
+        return feats
+    TB.upsert_table(spark, feats, table, [c for c in GAME_KEYS if c in feats.columns])
+    return "written"
+
+
+def write_feature_years(spark: SparkSession, games: DataFrame, kind: str, table: str,
+                        first: int, last: int) -> str:
+    """I11: all years of a range in one plan, so that no year reads the history again."""
+    feats = compute_features(spark, games, kind, allow_full_recompute=True)
+    years = feats.filter((F.col("game_date") >= F.make_date(F.lit(first), F.lit(1), F.lit(1)))
+                         & (F.col("game_date") < F.make_date(F.lit(last + 1), F.lit(1), F.lit(1))))
+    TB.upsert_table(spark, years, table, [c for c in GAME_KEYS if c in years.columns])
+    return "written"
+
+
 # I6: changed line-ups only -> recompute -> checkpoint the games that were computed
 def changed_lineups(spark: SparkSession, lineup_rows: DataFrame, checkpoints_table: str,
                     as_of: dt.date, computed_at: dt.datetime) -> DataFrame:
     current = I.with_roster_hash(I.roster_sets(lineup_rows))
     if TB.table_exists(spark, checkpoints_table):
-        todo = I.changed_rosters(current, spark.read.parquet(checkpoints_table))
+        todo = I.changed_rosters(current, TB.read_table(spark, checkpoints_table))
     else:
         todo = current
     return todo.select("game_pk", "lineup_hash", F.lit(as_of).alias("game_date"),
@@ -103,12 +133,56 @@ def checkpoint_games(spark: SparkSession, computed: DataFrame, checkpoints_table
         checkpoints_table, ["game_pk"], ["lineup_hash", "game_date", "computed_at"])
 
 
+def lineup_features(spark: SparkSession, lineup_rows: DataFrame, games: dict[str, DataFrame],
+                    tables: dict[str, str], checkpoints_table: str, as_of: dt.date,
+                    computed_at: dt.datetime, lookback_days: int = 365) -> int:
+    """I6 whole: line-ups -> changed games -> their players' features -> checkpoints.
+
+    ``games`` and ``tables`` are keyed "batter" and "pitcher". Pitchers also include recent relievers who
+    start nowhere today. The games are marked only after both feature tables are written, so a run that
+    fails is taken up again. Returns the number of changed games.
+    """
+    todo = materialize(changed_lineups(spark, lineup_rows, checkpoints_table, as_of, computed_at))
+    n = todo.count()
+    if n == 0:
+        return 0
+    for kind in ("batter", "pitcher"):
+        ids = todo.select(F.explode(f"{kind}_ids").alias("mlbam_id")).distinct()
+        if kind == "pitcher":
+            relief = games[kind].filter((F.col("gs") == 0) & (F.col("game_date") < F.lit(as_of))
+                                        & (F.col("game_date") >= F.date_sub(F.lit(as_of), lookback_days)))
+            ids = ids.unionByName(relief.select("mlbam_id")).distinct()
+        past = games[kind].filter(F.col("game_date") <= F.lit(as_of))
+        write_features(spark, past, kind, tables[kind], ids=ids)
+    checkpoint_games(spark, todo, checkpoints_table)
+    return n
+
+
 # I7: resumable backfill: the keys still to do; a key is done only after its write
 def backfill_todo(spark: SparkSession, work: DataFrame, done_table: str,
                   parts: Sequence[str] = ("mlbam_id", "season")) -> DataFrame:
     if not TB.table_exists(spark, done_table):
         return work
-    return I.remaining_work(work, spark.read.parquet(done_table), list(parts))
+    return I.remaining_work(work, TB.read_table(spark, done_table), list(parts))
+
+
+def backfill(spark: SparkSession, work: DataFrame, done_table: str, run,
+             parts: Sequence[str] = ("mlbam_id", "season")) -> int:
+    """Do what is left of ``work``: ``run(todo)`` writes it, then its keys are marked. Returns the keys done."""
+    todo = materialize(backfill_todo(spark, work, done_table, parts).select(*work.columns))
+    if todo.isEmpty():
+        return 0
+    run(todo)
+    return mark_done(spark, todo, done_table, parts)
+
+
+# I9 / I10: season game logs and team logs, one partition per season
+def season_logs(spark: SparkSession, logs: DataFrame, table: str, source: str,
+                loaded_at: dt.datetime, season_col: str = "season") -> DataFrame:
+    """Replace the seasons present in ``logs``; returns the run summary (season, n_rows) of what was stored."""
+    rows = materialize(TB.with_load_columns(logs, source, loaded_at))
+    TB.replace_slice_table(spark, rows, table, [season_col])
+    return rows.groupBy(season_col).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def mark_done(spark: SparkSession, written: DataFrame, done_table: str,

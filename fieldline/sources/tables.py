@@ -1,38 +1,102 @@
-"""Parquet tables: reads with pushed predicates and safe writes for the maintenance operators.
-
-A table is a Parquet directory, optionally partitioned (e.g. by ``game_date``). Rewrites that
-read the table they replace are first materialised with a reliable ``checkpoint()`` in the
-cluster's checkpoint folder, so the lineage no longer points at the files being replaced and a
-lost executor recomputes from the checkpoint, not from deleted input. Partitioned tables rewrite
-only the partitions that change (dynamic partition overwrite).
+"""Parquet tables: reads under one declared schema and lossless writes for the maintenance operators.
+
+A table is a Parquet directory, optionally partitioned (e.g. by ``game_date``), with a small file
+``_table.json`` that declares its columns and its partition layout. Reads go through that schema, so a
+column added later is NULL in older files and a truncated table keeps its layout. Every writer first
+normalises nulls, declares new columns, projects the rows to the declared schema, and then writes.
+
+Rewrites that read the table they replace are first materialised with a reliable ``checkpoint()``, so
+the lineage no longer points at the files being replaced. Partitioned tables rewrite only the
+partitions that change (dynamic partition overwrite, which Spark commits at the end); other tables
+are written to a folder beside the table that then takes its place. ``recover`` puts the old
+folder back if a crash fell between the two renames; reads and writes call it first.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldline.operators import merge
+from fieldline.operators.quality import normalize_nulls
 from fieldline.session import materialize
 
+DECLARATION = "_table.json"
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)  # the path's own file system, as Spark resolves it
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Put the former table back if a rewrite was cut off between its two renames."""
+    old = f"{path.rstrip('/')}._former"
+    if _exists(spark, old):
+        fs, p = _fs(spark, path)
+        if fs.exists(p):
+            fs.delete(_fs(spark, old)[1], True)
+        else:
+            fs.rename(_fs(spark, old)[1], p)
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    recover(spark, path)
+    return _exists(spark, path)
+
+
+def declaration(spark: SparkSession, path: str) -> tuple[T.StructType, list[str]]:
+    """Schema and partition columns of a table; read from its files where none are declared."""
+    fs, p = _fs(spark, f"{path}/{DECLARATION}")
+    if fs.exists(p):
+        stream = fs.open(p)
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        found = json.loads(text)
+        return T.StructType.fromJson(found["schema"]), list(found["partition_by"])
+    schema, parts, level = spark.read.option("mergeSchema", "true").parquet(path).schema, [], path
+    while True:
+        fs, p = _fs(spark, level)
+        names = sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory() and "=" in s.getPath().getName())
+        if not names:
+            return schema, parts
+        parts.append(names[0].split("=")[0])
+        level = f"{level}/{names[0]}"
+
+
+def _declare(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str]) -> None:
+    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+    text = json.dumps({"schema": nullable.jsonValue(), "partition_by": list(partition_by)})
+    fs, p = _fs(spark, f"{path}/{DECLARATION}")
+    tmp = _fs(spark, f"{path}/_{uuid.uuid4().hex}.json")[1]
+    out = fs.create(tmp, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    fs.rename(tmp, p)
+
 
 def read_table(spark: SparkSession, path: str, where: Column | str | None = None,
                columns: Sequence[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+    recover(spark, path)
+    schema, _ = declaration(spark, path)
+    df = spark.read.schema(schema).parquet(path).select(*[f.name for f in schema.fields])
     if where is not None:
         df = df.filter(where)
     return df.select(*columns) if columns else df
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm  # Hadoop FileSystem of the path, as Spark itself resolves it
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
 def max_loaded(df: DataFrame, date_col: str) -> DataFrame:
     """High-water mark as a one-row frame; NULL when the table is empty."""
     return df.agg(F.max(date_col).alias("max_loaded"))
@@ -42,68 +106,149 @@ def run_sql(spark: SparkSession, text: str) -> DataFrame:
     return spark.sql(text)
 
 
+def with_load_columns(df: DataFrame, source: str, loaded_at) -> DataFrame:
+    """Lineage columns of a load: where the rows come from and when they were loaded."""
+    return df.withColumn("_source", F.lit(source)).withColumn("_loaded_at", F.lit(loaded_at).cast("timestamp_ntz"))
+
+
+def _aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows under the declared schema: columns missing in ``df`` are NULL."""
+    by = {c.lower(): c for c in df.columns}
+    return df.select(*[(F.col(f"`{by[f.name.lower()]}`") if f.name.lower() in by else F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in schema.fields])
+
+
+def _prepared(spark: SparkSession, df: DataFrame, path: str) -> tuple[DataFrame, list[str]]:
+    """``df`` ready for an existing table, whose declaration gains the columns that are new in ``df``."""
+    schema, parts = declaration(spark, path)
+    df = normalize_nulls(df)
+    known = {f.name.lower() for f in schema.fields}
+    new = [f for f in df.schema.fields if f.name.lower() not in known]
+    if new or not _exists(spark, f"{path}/{DECLARATION}"):
+        schema = T.StructType([*schema.fields, *new])
+        _declare(spark, path, schema, parts)
+    return _aligned(df, schema), parts
+
+
+def _create(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str]) -> int:
+    """Write a table beside ``path`` and let it take the path's place. Returns the rows written."""
+    staged, old = f"{path.rstrip('/')}._staged-{uuid.uuid4().hex}", f"{path.rstrip('/')}._former"
+    seen = Observation()
+    w = df.observe(seen, F.count(F.lit(1)).alias("n")).write
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(staged)
+    _declare(spark, staged, df.schema, partition_by)
+    recover(spark, path)
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        fs.rename(p, _fs(spark, old)[1])
+    fs.mkdirs(p.getParent())
+    fs.rename(_fs(spark, staged)[1], p)
+    recover(spark, path)  # drops the former table
+    return seen.get.get("n", 0)
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
-    """Append rows; an empty frame is a no-op. Returns the number of rows written."""
-    n = df.count()
-    if n == 0:
+    """Append rows; an empty frame is a no-op. Returns the number of rows that were written.
+
+    ``partition_by`` counts for a new table; an existing one keeps its own layout.
+    """
+    spark = df.sparkSession
+    if df.isEmpty():
         return 0
-    w = df.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return n
+    if not table_exists(spark, path):
+        return _create(spark, normalize_nulls(df), path, partition_by)
+    rows, parts = _prepared(spark, df, path)
+    seen = Observation()
+    w = rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append")
+    (w.partitionBy(*parts) if parts else w).parquet(path)
+    return seen.get.get("n", 0)
+
+
+def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = (), dynamic: bool = False) -> None:
+    """Replace the table, or with ``dynamic`` only the partitions that ``df`` has rows for."""
+    spark = df.sparkSession
+    if not dynamic or not table_exists(spark, path):
+        _create(spark, normalize_nulls(df), path, partition_by)
+        return
+    rows, parts = _prepared(spark, df, path)
+    if not parts:
+        raise ValueError(f"{path} is not partitioned: single partitions can't be overwritten")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
 
 
-def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-              dynamic: bool = False) -> None:
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-        if dynamic:
-            w = w.option("partitionOverwriteMode", "dynamic")
-    w.parquet(path)
+def truncate(spark: SparkSession, path: str) -> None:
+    """Empty the table, keeping its schema and layout."""
+    recover(spark, path)
+    schema, parts = declaration(spark, path)
+    _create(spark, spark.createDataFrame([], schema), path, parts)
 
 
-def truncate(spark: SparkSession, path: str) -> None:
-    """Empty the table, keeping its schema."""
-    df = spark.read.parquet(path)
-    spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
+def _rewrite(spark: SparkSession, source: DataFrame, path: str, build) -> None:
+    """Replace the table, or those of its partitions that ``source`` has rows for, by build(target, source)."""
+    source, parts = _prepared(spark, source, path)
+    target = read_table(spark, path)
+    if parts:
+        target = merge.matching(target, source, parts, "left_semi")
+    new = materialize(build(target, source))
+    if parts:
+        overwrite(new, path, dynamic=True)
+    else:
+        _create(spark, new, path, parts)
 
 
-def _rewrite(spark: SparkSession, path: str, build, partition_by: Sequence[str],
-             touched: DataFrame | None) -> None:
-    if not table_exists(spark, path):
-        raise FileNotFoundError(path)
-    target = spark.read.parquet(path)
-    if partition_by and touched is not None:
-        # Only the partitions that receive source rows are read and rewritten.
-        parts = touched.select(*partition_by).distinct()
-        target = target.join(parts, list(partition_by), "left_semi")
-    new = materialize(build(target))
-    overwrite(new, path, partition_by, dynamic=bool(partition_by))
+def _new_table(spark: SparkSession, source: DataFrame, path: str, partition_by: Sequence[str]) -> bool:
+    if table_exists(spark, path):
+        return False
+    _create(spark, normalize_nulls(source), path, partition_by)
+    return True
+
+
+def _check_layout(spark: SparkSession, path: str, keys: Sequence[str], partition_by: Sequence[str]) -> None:
+    parts = declaration(spark, path)[1] if table_exists(spark, path) else partition_by
+    if not set(parts) <= set(keys):
+        raise ValueError("partition columns must be key columns")  # else a key could move between partitions
 
 
 def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
                  partition_by: Sequence[str] = ()) -> None:
-    """Delete rows whose key is in ``source`` and insert ``source`` (exact keys).
+    """Delete rows whose key is in ``source`` and insert ``source`` (exact keys, null equals null).
+
+    ``partition_by`` counts for a new table and must be part of ``keys``.
+    """
+    _check_layout(spark, path, keys, partition_by)
+    if not _new_table(spark, source, path, partition_by):
+        _rewrite(spark, source, path, lambda t, s: merge.upsert(t, s, keys))
+
 
-    ``partition_by`` must be part of ``keys`` so a key never moves between partitions.
+def merge_latest_table(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
+                       newest: Sequence[str] = (), partition_by: Sequence[str] = ()) -> None:
+    """One row per key: the newest of the stored and the new rows.
+
+    Rows are newer by ``newest`` (columns missing in ``source`` don't count); with equal marks the new row wins.
+    Rows under other keys stay, so a slice may arrive in any number of parts and in any order, and a
+    part may arrive again.
     """
-    if partition_by and not set(partition_by) <= set(keys):
-        raise ValueError("partition columns must be key columns")
+    _check_layout(spark, path, keys, partition_by)
+    newest = [c for c in newest if c in source.columns]
     if not table_exists(spark, path):
-        overwrite(source, path, partition_by)
+        _create(spark, normalize_nulls(merge.dedup_latest(source, keys, newest)), path, partition_by)
         return
-    _rewrite(spark, path, lambda t: merge.upsert(t, source, keys), partition_by, source)
+
+    def build(target, new):
+        both = target.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+        return merge.dedup_latest(both, keys, [*newest, "_new"]).drop("_new")
+
+    _rewrite(spark, source, path, build)
 
 
 def replace_slice_table(spark: SparkSession, source: DataFrame, path: str,
                         slice_cols: Sequence[str]) -> None:
-    """Replace whole slices (e.g. one date): a dynamic partition overwrite of those slices."""
-    if not table_exists(spark, path):
-        overwrite(source, path, slice_cols)
-        return
-    overwrite(source, path, slice_cols, dynamic=True)
+    """Replace whole slices (e.g. one date): a dynamic partition overwrite of those slices.
+
+    ``source`` must hold the whole of each slice; for parts of a slice use ``merge_latest_table``.
+    """
+    if not _new_table(spark, source, path, slice_cols):
+        overwrite(source, path, dynamic=True)
 
 
 def merge_insert_only_table(spark: SparkSession, source: DataFrame, path: str,
@@ -111,29 +256,20 @@ def merge_insert_only_table(spark: SparkSession, source: DataFrame, path: str,
     """Append only source rows with new keys; re-running adds nothing. Returns rows added."""
     if not table_exists(spark, path):
         return append(source, path)
-    new = materialize(merge.new_rows_only(spark.read.parquet(path), source, keys))
+    new = materialize(merge.new_rows_only(read_table(spark, path), source, keys))
     return append(new, path)
 
 
 def merge_update_insert_table(spark: SparkSession, source: DataFrame, path: str,
                               keys: Sequence[str], update_cols: Sequence[str] | None = None,
                               partition_by: Sequence[str] = ()) -> None:
-    if not table_exists(spark, path):
-        overwrite(source, path, partition_by)
-        return
-    _rewrite(spark, path,
-             lambda t: merge.merge_update_insert(t, source, keys, update_cols),
-             partition_by, source)
+    _check_layout(spark, path, keys, partition_by)
+    if not _new_table(spark, source, path, partition_by):
+        given = set(source.columns)
+        keep = [c for c in update_cols if c in given] if update_cols is not None else [c for c in source.columns if c not in keys]
+        _rewrite(spark, source, path, lambda t, s: merge.merge_update_insert(t, s, keys, keep))
 
 
 def widen_table(spark: SparkSession, source: DataFrame, path: str) -> None:
-    """Append with new columns added to the table (old rows read them as NULL)."""
-    if not table_exists(spark, path):
-        overwrite(source, path)
-        return
-    target = spark.read.parquet(path)
-    new_cols = [c for c in source.columns if c not in target.columns]
-    if not new_cols:
-        append(source.select(*[c for c in target.columns if c in source.columns]), path)
-        return
-    overwrite(materialize(merge.widen_schema(target, source)), path)
+    """Append with new columns declared for the table (old rows read them as NULL; no file is rewritten)."""
+    append(source, path)

@@ -1,10 +1,9 @@
 """Structured Streaming ingestion of landed pitch files.
 
-The source schedule is batch (daily re-runs replace a date). The streaming form watches the
-landing folder with a file source and applies the same idempotent batch operators per
-micro-batch in ``foreachBatch``: the dates present in the batch are replaced (dynamic partition
-overwrite), and the game results in it are upserted. A replayed micro-batch after a failure
-rewrites the same slices, so the sink is exactly-once in effect. Progress is kept in the
+The streaming form watches the landing folder with a file source and merges each micro-batch into
+the table in ``foreachBatch``: per pitch key the newest copy stays, and the rows of a date that came in
+other batches stay as they are. A date may therefore be split over any number of batches, a file may
+come late, and a replayed micro-batch after a failure changes nothing. Progress is kept in the
 checkpoint location, which must be shared storage on a cluster.
 """
 
@@ -16,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from fieldline.operators.merge import dedup_latest
 from fieldline.sources import tables as TB
 
 
@@ -28,25 +26,25 @@ def landed_pitches(spark: SparkSession, folder: str, schema: StructType,
     return reader.load(folder)
 
 
-def replace_dates_sink(table_path: str, date_col: str = "game_date",
+def merge_pitches_sink(table_path: str, date_col: str = "game_date",
                        pitch_key: Sequence[str] = ("game_pk", "at_bat_number", "pitch_number"),
                        loaded_col: str = "_loaded_at") -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: newest copy per pitch key, then replace the batch's dates."""
+    """foreachBatch function: merge the batch by pitch key; only the batch's dates are rewritten."""
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        latest = dedup_latest(batch, list(pitch_key), [loaded_col]) if loaded_col in batch.columns \
-            else batch
-        TB.replace_slice_table(spark, latest, table_path, [date_col])
+        if not batch.isEmpty():
+            TB.merge_latest_table(batch.sparkSession, batch, table_path, [date_col, *pitch_key],
+                                  [loaded_col], partition_by=[date_col])
 
     return write
 
 
 def start_pitch_ingest(spark: SparkSession, landing: str, schema: StructType, table_path: str,
                        checkpoint: str, trigger_once: bool = False,
-                       date_col: str = "game_date") -> StreamingQuery:
-    stream = landed_pitches(spark, landing, schema)
-    writer = (stream.writeStream.foreachBatch(replace_dates_sink(table_path, date_col))
+                       date_col: str = "game_date",
+                       max_files_per_trigger: int | None = None) -> StreamingQuery:
+    stream = landed_pitches(spark, landing, schema, max_files_per_trigger=max_files_per_trigger)
+    writer = (stream.writeStream.foreachBatch(merge_pitches_sink(table_path, date_col))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if trigger_once else writer
     return writer.start()

@@ -29,9 +29,9 @@ def test_upsert_exact_keys_and_idempotent(spark, tmp_table_dir):
     # key (1, D1, 99) is new: the 3-key fast path of the source would have deleted (1, D1, 10)
     src = spark.createDataFrame([(1, D1, 99, 7), (2, D1, 12, 30)], "id long, d date, g long, v long")
     TB.upsert_table(spark, src, path, ["id", "d", "g"], partition_by=["d"])
-    once = rows_of(spark.read.parquet(path).select("id", "d", "g", "v"))
+    once = rows_of(TB.read_table(spark, path).select("id", "d", "g", "v"))
     TB.upsert_table(spark, src, path, ["id", "d", "g"], partition_by=["d"])
-    twice = rows_of(spark.read.parquet(path).select("id", "d", "g", "v"))
+    twice = rows_of(TB.read_table(spark, path).select("id", "d", "g", "v"))
     assert once == twice == sorted([(1, D1, 10, 1), (1, D2, 11, 2), (2, D1, 12, 30),
                                     (1, D1, 99, 7)])
 
@@ -42,7 +42,7 @@ def test_replace_slice_idempotent(spark, tmp_table_dir):
     src = spark.createDataFrame([(D1, 5)], "d date, v long")
     TB.replace_slice_table(spark, src, path, ["d"])
     TB.replace_slice_table(spark, src, path, ["d"])
-    assert rows_of(spark.read.parquet(path).select("d", "v")) == [(D1, 5), (D2, 3)]
+    assert rows_of(TB.read_table(spark, path).select("d", "v")) == [(D1, 5), (D2, 3)]
 
 
 def test_merge_insert_only_rerun_adds_nothing(spark, tmp_table_dir):
@@ -51,7 +51,7 @@ def test_merge_insert_only_rerun_adds_nothing(spark, tmp_table_dir):
     src = spark.createDataFrame([(1, 2, 10, 5), (1, 2, 11, 1)], "b long, p long, g long, pa long")
     assert TB.merge_insert_only_table(spark, src, path, ["b", "p", "g"]) == 1
     assert TB.merge_insert_only_table(spark, src, path, ["b", "p", "g"]) == 0
-    assert rows_of(spark.read.parquet(path)) == [(1, 2, 10, 1), (1, 2, 11, 1)]
+    assert rows_of(TB.read_table(spark, path)) == [(1, 2, 10, 1), (1, 2, 11, 1)]
 
 
 def test_merge_update_insert(spark):
@@ -65,7 +65,7 @@ def test_widen_schema(spark, tmp_table_dir):
     path = os.path.join(tmp_table_dir, "wide")
     TB.overwrite(spark.createDataFrame([(1, 2)], "a long, b long"), path)
     TB.widen_table(spark, spark.createDataFrame([(3, 4, 5)], "a long, b long, c long"), path)
-    assert rows_of(spark.read.parquet(path).select("a", "b", "c")) == [(1, 2, None), (3, 4, 5)]
+    assert rows_of(TB.read_table(spark, path).select("a", "b", "c")) == [(1, 2, None), (3, 4, 5)]
 
 
 def test_append_empty_is_noop(spark, tmp_table_dir):
