@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,11 +24,6 @@ def non_empty(c: str | Column) -> Column:
     return c.isNotNull() & (c != F.lit(""))
 
 
-def clip_at_zero(c: Column) -> Column:
-    """max(c, 0) that keeps NULL as NULL (``greatest`` alone would skip the NULL)."""
-    return F.when(c.isNotNull(), F.greatest(c, F.lit(0)))
-
-
 def null_safe_greatest(a: Column, b: Column) -> Column:
     """Element-wise maximum that propagates NULL like numpy's maximum propagates NaN."""
     return F.when(a.isNotNull() & b.isNotNull(), F.greatest(a, b))
@@ -50,25 +44,11 @@ def mid_probability(prob_home: str | Column, prob_visitor: str | Column) -> Colu
     return (col(prob_home) + (F.lit(1.0) - col(prob_visitor))) / F.lit(2.0)
 
 
-def slugging(h, x2b, x3b, hr, ab) -> Column:
-    return safe_div(col(h) + col(x2b) + F.lit(2) * col(x3b) + F.lit(3) * col(hr), ab)
-
-
-def player_obp(h, bb, hbp, sf, ab) -> Column:
-    """On-base rate of a player: (h + bb + hbp) / (ab + bb + hbp + sf)."""
-    return safe_div(col(h) + col(bb) + col(hbp), col(ab) + col(bb) + col(hbp) + col(sf))
-
-
 def team_obp(h, bb, ab) -> Column:
     """On-base rate of a team log: (h + bb) / (bb + ab); no HBP or SF in the source."""
     return safe_div(col(h) + col(bb), col(bb) + col(ab))
 
 
-def fip_core(hr, h, bb, so) -> Column:
-    """13 hr + 3 (h + bb) - 2 so."""
-    return F.lit(13) * col(hr) + F.lit(3) * (col(h) + col(bb)) - F.lit(2) * col(so)
-
-
 def yyyymmdd(d: str | Column) -> Column:
     return F.date_format(col(d), "yyyyMMdd")
 
@@ -110,11 +90,3 @@ def format_timestamp(c: str | Column) -> Column:
 
 def key_text(*parts: str | Column, sep: str = "_") -> Column:
     return F.concat_ws(sep, *[col(p).cast("string") for p in parts])
-
-
-def count_where(pred: Column) -> Column:
-    return F.count_if(pred)
-
-
-def in_list(c: str | Column, values: Iterable[str]) -> Column:
-    return col(c).isin(list(values))

@@ -5,9 +5,8 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
 
 from fieldline.functions.constants import REQUIRED_PITCH_COLUMNS
 from fieldline.functions.scalar import lenient_date, lenient_number, non_empty, null_if_nan
@@ -15,7 +14,6 @@ from fieldline.functions.scalar import lenient_date, lenient_number, non_empty,
 log = logging.getLogger("fieldline.quality")
 
 DEFAULT_MIN_RELEASE_SPEED = 40.0
-DEFAULT_MAX_RELEASE_SPEED = 110.0
 FLOAT_PITCH_COLUMNS = [
     "RELEASE_SPEED", "RELEASE_SPIN_RATE", "PFX_X", "PFX_Z", "PLATE_X", "PLATE_Z",
     "RELEASE_EXTENSION", "LAUNCH_SPEED", "LAUNCH_ANGLE",
@@ -66,12 +64,18 @@ def clean_pitches(df: DataFrame, date_col: str = "GAME_DATE",
     return df.select(*cols)
 
 
+def _bad_speed(speed: Column, min_speed: float, max_speed: float | None) -> Column:
+    """Missing or below the limit; an upper limit applies only where a caller sets one."""
+    bad = speed.isNull() | (speed < min_speed)
+    return bad if max_speed is None else bad | (speed > max_speed)
+
+
 def quality_report(df: DataFrame, min_speed: float = DEFAULT_MIN_RELEASE_SPEED,
-                   max_speed: float = DEFAULT_MAX_RELEASE_SPEED,
+                   max_speed: float | None = None,
                    angle_col: str = "LAUNCH_ANGLE", speed_col: str = "RELEASE_SPEED") -> DataFrame:
     """One-row report in one pass: rows, unusual launch angles, implausible release speeds."""
     angle, speed = F.col(angle_col), F.col(speed_col)
-    bad_speed = speed.isNull() | (speed < min_speed) | (speed > max_speed)
+    bad_speed = _bad_speed(speed, min_speed, max_speed)
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if((angle > 90) | (angle < -90)).alias("n_unusual_angle"),
@@ -81,17 +85,17 @@ def quality_report(df: DataFrame, min_speed: float = DEFAULT_MIN_RELEASE_SPEED,
 
 def validate_pitches(df: DataFrame, required: Sequence[str] = REQUIRED_PITCH_COLUMNS,
                      min_speed: float = DEFAULT_MIN_RELEASE_SPEED,
-                     max_speed: float = DEFAULT_MAX_RELEASE_SPEED) -> DataFrame:
+                     max_speed: float | None = None) -> DataFrame:
     """Hard checks raise ``ValueError``; soft checks log warnings. Returns the kept rows.
 
-    Empty input or a missing key column fails. Launch angles outside +-90 are only reported.
+    Empty input and missing key columns fail, each named in the message. Launch angles outside +-90 are only reported.
     Rows with a missing or implausible release speed are dropped and counted.
     """
     problems = []
     missing = [c for c in required if c not in df.columns]
     if missing:
         problems.append(f"Missing required columns: {', '.join(missing)}")
-    if not problems and df.isEmpty():
+    if df.isEmpty():
         problems.append("No rows in DataFrame")
     if problems:
         raise ValueError("Data quality checks failed:\n  - " + "\n  - ".join(problems))
@@ -101,16 +105,14 @@ def validate_pitches(df: DataFrame, required: Sequence[str] = REQUIRED_PITCH_COL
         F.count(F.lit(1)).alias("n"),
         (F.count_if((F.col("LAUNCH_ANGLE") > 90) | (F.col("LAUNCH_ANGLE") < -90))
          if has_angle else F.lit(0)).alias("bad_angle"),
-        (F.count_if(F.col("RELEASE_SPEED").isNull() | (F.col("RELEASE_SPEED") < min_speed)
-                    | (F.col("RELEASE_SPEED") > max_speed)) if has_speed else F.lit(0))
-        .alias("bad_speed"),
+        (F.count_if(_bad_speed(F.col("RELEASE_SPEED"), min_speed, max_speed)) if has_speed
+         else F.lit(0)).alias("bad_speed"),
     ).first()
     if report["bad_angle"]:
         log.warning("Unusual launch angles detected (>90 or <-90) — review source data.")
     kept = df
     if has_speed:
-        speed = F.col("RELEASE_SPEED")
-        kept = df.filter(speed.isNotNull() & (speed >= min_speed) & (speed <= max_speed))
+        kept = df.filter(~_bad_speed(F.col("RELEASE_SPEED"), min_speed, max_speed))
         if report["bad_speed"]:
             log.warning(
                 f"Dropped {report['bad_speed']} rows with missing or implausible release speed.")
@@ -143,11 +145,3 @@ def clean_team_log(df: DataFrame, rename: Mapping[str, str], drop: Sequence[str]
     if season_col.upper() not in df.columns:
         df = df.withColumn(season_col.upper(), F.year(dc))
     return df
-
-
-def is_numeric(df: DataFrame, c: str) -> bool:
-    return isinstance(df.schema[c].dataType, NumericType)
-
-
-def is_text(df: DataFrame, c: str) -> bool:
-    return isinstance(df.schema[c].dataType, StringType)

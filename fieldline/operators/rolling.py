@@ -4,15 +4,14 @@ All window sums are "lagged": the row's own game is never inside its window.
 
 Physical design
 ---------------
-Spark's sliding ROWS frame recomputes every frame (O(n * w) per partition). Here a lagged
-window sum over ``w`` rows is the difference of two running sums over
-``(UNBOUNDED PRECEDING, -1)`` and ``(UNBOUNDED PRECEDING, -(w + 1))``; both frames grow
-incrementally, so all windows of all columns cost O(n) and land in one ``Window`` operator
-(one Exchange on the entity, one Sort). Integer columns are summed as BIGINT, so differences are
-exact; floating columns are summed as DOUBLE, the same add-new / drop-old running scheme pandas
-uses for rolling sums (exact whenever the values are binary fractions, as in the test data).
-A count of non-null values over the same frames gives the pandas semantics: NULL when the frame
-holds no value (``min_periods=1``) or, for strict windows, fewer than ``w`` values.
+Spark's sliding ROWS frame recomputes every frame (O(n * w) per partition). For integer and decimal
+columns a lagged window sum over ``w`` rows is taken instead as the difference of two running sums,
+``prefix - lag(prefix, w)``, which is exact: one running sum per column serves all window lengths.
+Floating columns can't be subtracted without rounding error (and one huge value or NaN would spoil
+every later window), so they are summed over the frame itself; NaN counts as missing. All of it runs
+behind one Exchange and one Sort on the entity. A count of non-null values over the same rows gives
+the pandas semantics: NULL when the frame holds no value (``min_periods=1``) or, for strict windows,
+fewer than ``w`` values.
 """
 
 from __future__ import annotations
@@ -21,7 +20,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, DoubleType, FloatType, NumericType
+from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
 from fieldline.functions import constants as K
 from fieldline.functions.scalar import safe_div, null_safe_greatest
@@ -35,28 +34,7 @@ def entity_window(entity: str | Sequence[str], order: Sequence[str]) -> WindowSp
 
 
 def _is_floating(df: DataFrame, c: str) -> bool:
-    t = df.schema[c].dataType
-    return isinstance(t, (DoubleType, FloatType, DecimalType))
-
-
-def lagged_sum(df: DataFrame, c: str, w: int, spec: WindowSpec, strict: bool = False) -> Column:
-    """Sum of ``c`` over the ``w`` rows before the current one.
-
-    lenient (strict=False): NULL only when the frame holds no non-null value (first row too).
-    strict: NULL unless all ``w`` preceding rows exist and are non-null.
-    """
-    floating = _is_floating(df, c)
-    x = F.col(c).cast("double") if floating else F.col(c).cast("long")
-    upto_prev = spec.rowsBetween(UNBOUNDED, -1)
-    upto_old = spec.rowsBetween(UNBOUNDED, -(w + 1))
-    total = F.coalesce(F.sum(x).over(upto_prev), F.lit(0)) - F.coalesce(
-        F.sum(x).over(upto_old), F.lit(0)
-    )
-    n = F.coalesce(F.count(x).over(upto_prev), F.lit(0)) - F.coalesce(
-        F.count(x).over(upto_old), F.lit(0)
-    )
-    need = w if strict else 1
-    return F.when(n >= need, total)
+    return isinstance(df.schema[c].dataType, (DoubleType, FloatType))
 
 
 def rolling_sums(
@@ -68,42 +46,41 @@ def rolling_sums(
     strict: bool = False,
     name: str = "rollsum_{col}_{w}",
 ) -> DataFrame:
-    """Append one lagged sum per (column, window); one Window operator for all of them.
+    """Append one lagged sum per (column, window) without another shuffle or sort.
 
-    Shared sub-expressions are built once: the ``(UNBOUNDED, -1)`` running sum of a column is
-    reused by every window length, and non-nullable columns (rollup counts) share one row count
-    per window instead of a non-null count per column.
+    lenient (strict=False): NULL only when the frame holds no value (first row too).
+    strict: NULL unless all ``w`` preceding rows exist and hold a value.
+    Non-nullable columns (rollup counts) share one row count instead of a count per column.
     """
     spec = entity_window(entity, order)
     windows = list(windows)
     cols = [c for c in columns if c in df.columns]
+    exact = [c for c in cols if not _is_floating(df, c)]
     prev = spec.rowsBetween(UNBOUNDED, -1)
-    old = {w: spec.rowsBetween(UNBOUNDED, -(w + 1)) for w in windows}
-    one = F.lit(1)
-    rows_prev = F.coalesce(F.count(one).over(prev), F.lit(0))
-    rows_in = {w: rows_prev - F.coalesce(F.count(one).over(old[w]), F.lit(0)) for w in windows}
-    exprs = []
-    for c in cols:
-        floating = _is_floating(df, c)
-        x = F.col(c).cast("double") if floating else F.col(c).cast("long")
-        s_prev = F.coalesce(F.sum(x).over(prev), F.lit(0))
-        nullable = df.schema[c].nullable
-        n_prev = F.coalesce(F.count(x).over(prev), F.lit(0)) if nullable else None
-        for w in windows:
-            total = s_prev - F.coalesce(F.sum(x).over(old[w]), F.lit(0))
-            if nullable:
-                n = n_prev - F.coalesce(F.count(x).over(old[w]), F.lit(0))
-            else:
-                n = rows_in[w]
-            out = F.when(n >= (w if strict else 1), total)
-            exprs.append((w, c, out.alias(name.format(col=c, w=w))))
-    exprs.sort(key=lambda t: (windows.index(t[0]), cols.index(t[1])))
-    return df.select("*", *[e for _, _, e in exprs])
+    own = df.columns
+    prefixes = [F.coalesce(F.count(F.lit(1)).over(prev), F.lit(0)).alias("_rows")]
+    for c in exact:
+        x = F.col(c) if isinstance(df.schema[c].dataType, DecimalType) else F.col(c).cast("long")
+        prefixes.append(F.coalesce(F.sum(x).over(prev), F.lit(0)).alias(f"_sum_{c}"))
+        if df.schema[c].nullable:
+            prefixes.append(F.coalesce(F.count(x).over(prev), F.lit(0)).alias(f"_n_{c}"))
 
+    def inside(prefix: str, w: int) -> Column:
+        return F.col(prefix) - F.coalesce(F.lag(prefix, w).over(spec), F.lit(0))
 
-def cumulative_sum(c: str, spec: WindowSpec, include_current: bool = True) -> Column:
-    upper = 0 if include_current else -1
-    return F.sum(F.col(c)).over(spec.rowsBetween(UNBOUNDED, upper))
+    exprs = []
+    for w in windows:
+        need, frame = w if strict else 1, spec.rowsBetween(-w, -1)
+        for c in cols:
+            if c in exact:
+                n = inside(f"_n_{c}" if df.schema[c].nullable else "_rows", w)
+                out = F.when(n >= need, inside(f"_sum_{c}", w))
+            else:
+                x = F.when(~F.isnan(c), F.col(c).cast("double"))
+                out = F.sum(x).over(frame)
+                out = F.when(F.count(x).over(frame) >= need, out) if strict else out
+            exprs.append(out.alias(name.format(col=c, w=w)))
+    return df.select("*", *prefixes).select(*own, *exprs)
 
 
 def batter_rates(w: int, rs=lambda c, w: F.col(f"rollsum_{c}_{w}")) -> list[Column]:
@@ -165,29 +142,36 @@ def smoothed_pitcher_rates(w: int) -> list[Column]:
 
 
 def last_non_null_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str],
-    partition: Sequence[str] | None = None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], settled: Sequence[str] = (),
 ) -> DataFrame:
     """Collapse rows sharing ``keys`` to one: per column, the last non-null value in ``order``.
 
     Runs as one ``Window`` over ``keys`` ordered by ``order`` with an unbounded frame. Input that
     is already partitioned on a prefix of ``keys`` and sorted (the rolling window's output) needs
-    no further Exchange or Sort. ``partition`` is accepted for symmetry with other callers.
+    no further Exchange or Sort. Non-nullable columns, and those the caller names as ``settled``
+    (never NULL on a key's last row if any row of the key has a value), are read off the last row.
     """
     ordered = Window.partitionBy(*keys).orderBy(*order)
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    plain = set(settled) | {f.name for f in df.schema.fields if not f.nullable}
     values = [c for c in df.columns if c not in keys]
     out = df.select(
         *keys,
-        *[F.last(F.col(c), ignorenulls=True).over(whole).alias(c) for c in values],
+        *[F.col(c) if c in plain else F.last(F.col(c), ignorenulls=True).over(whole).alias(c) for c in values],
         F.row_number().over(ordered).alias("_rn"),
         F.count(F.lit(1)).over(whole).alias("_n"),
     )
     return out.filter(F.col("_rn") == F.col("_n")).select(*df.columns)
 
 
-def _partition(entity: str, scope: str) -> list[str]:
-    return [entity] if scope == "career" else [entity, "_season"]
+def _settled(games: DataFrame, columns: Iterable[str], windows: Iterable[int]) -> list[str]:
+    """Lenient sums of non-nullable columns: once an entity has a past game they are never NULL again."""
+    return [f"rollsum_{c}_{w}" for w in windows for c in columns if c in games.columns and not games.schema[c].nullable]
+
+
+def _collapse_keys(entity: str, scope: str, date_col: str) -> list[str]:
+    """The season stands in front of the date, so that the collapse keeps the windows' partitioning."""
+    return [entity, date_col] if scope == "career" else [entity, "_season", date_col]
 
 
 def _scope_entity(entity: str, scope: str, date_col: str) -> list[str] | str:
@@ -213,8 +197,8 @@ def batter_rolling_features(
                       _scope_entity(entity, scope, date_col), [date_col, game_col])
     df = df.select("*", *[r for w in windows for r in batter_rates(w)])
     if collapse_days:
-        df = last_non_null_per_key(df, [entity, date_col], [game_col],
-                                   partition=_partition(entity, scope))
+        df = last_non_null_per_key(df, _collapse_keys(entity, scope, date_col), [game_col],
+                                   _settled(games, K.BATTER_SUM_COLUMNS, windows))
     return df.drop("_season") if scope == "season" else df
 
 
@@ -242,6 +226,7 @@ def pitcher_rolling_features(
     use_outs = "outs" in df.columns
     cols = [c for c in K.PITCHER_SUM_COLUMNS if not (c == "ip" and use_outs)]
     cols = cols + (["outs"] if use_outs else [])
+    source = df
     df = rolling_sums(df, cols, windows, ent, [date_col, game_col])
     if use_outs:
         df = df.select("*", *[(F.col(f"rollsum_outs_{w}") / F.lit(3.0)).alias(f"rollsum_ip_{w}")
@@ -249,6 +234,8 @@ def pitcher_rolling_features(
         df = df.drop(*[f"rollsum_outs_{w}" for w in windows])
     df = df.select("*", *[r for w in windows for r in pitcher_rates(w)])
     if collapse_days:
-        df = last_non_null_per_key(df, [entity, date_col], [game_col],
-                                   partition=_partition(entity, scope))
+        settled = _settled(source, cols, windows)
+        if "rollsum_outs_" in "".join(settled):
+            settled += [f"rollsum_ip_{w}" for w in windows]
+        df = last_non_null_per_key(df, _collapse_keys(entity, scope, date_col), [game_col], settled)
     return df.drop("_season") if scope == "season" else df

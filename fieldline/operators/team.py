@@ -14,13 +14,9 @@ from fieldline.operators.rolling import rolling_sums
 TEAM_STATS = ["BATAVG", "OBP", "SLG", "OBS", "SB", "CS", "ERR"]
 
 
-def strip_suffix(name: str, suffix: str) -> str:
-    return name[: -len(suffix)] if name.endswith(suffix) else name
-
-
 def side_columns(columns: Sequence[str], keep: str, drop: str) -> list[tuple[str, str]]:
     """(source, target) pairs: columns not ending in ``drop``, with ``keep`` stripped."""
-    return [(c, strip_suffix(c, keep)) for c in columns if not c.endswith(drop)]
+    return [(c, c.removesuffix(keep)) for c in columns if not c.endswith(drop)]
 
 
 def game_outcome(df: DataFrame, home_score: str = "home_score",

@@ -9,7 +9,7 @@ from fieldline.functions import constants as K
 from fieldline.operators import rollup, rolling
 from fieldline.plans import sqlgen as S
 from fieldline.plans.registry import register, with_pitches
-from fieldline.plans.views import PITCH_ORDER, pitch_view
+from fieldline.plans.views import PITCH_ORDER, load, pitch_view
 
 
 def batter_games(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,6 +161,46 @@ def q_strict_rolling_sums(spark, sf_dir):
     return _pitcher_sums(spark, sf_dir, strict=True)
 
 
+# --- W1, W2 on general doubles: prices with NaN and NULL among them -------------------------------
+PRICE_WINDOWS = [3, 30]
+
+
+def _price_sums_sql(strict: bool) -> str:
+    out = []
+    for w in PRICE_WINDOWS:
+        frame = (f"OVER (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber "
+                 f"ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING)")
+        out.append(f"CASE WHEN count(price) {frame} >= {w if strict else 1} "
+                   f"THEN round(sum(price) {frame}, 2) END AS price_{w}")
+    return f"""
+WITH p AS (
+  SELECT *, CASE WHEN l_linenumber < 6 THEN l_extendedprice END AS price FROM lineitem
+)
+SELECT l_orderkey, l_linenumber, l_suppkey, {', '.join(out)} FROM p"""
+
+
+def _price_sums(spark, sf_dir, strict: bool):
+    price = (F.when(F.col("l_linenumber") < 6, F.col("l_extendedprice"))
+             .when(F.col("l_linenumber") == 6, F.lit(float("nan"))))
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey",
+                                                "l_shipdate", price.alias("price"))
+    sums = rolling.rolling_sums(li, ["price"], PRICE_WINDOWS, "l_suppkey",
+                                ["l_shipdate", "l_orderkey", "l_linenumber"], strict=strict)
+    return sums.select("l_orderkey", "l_linenumber", "l_suppkey",
+                       *[F.round(f"rollsum_price_{w}", 2).alias(f"price_{w}")
+                         for w in PRICE_WINDOWS])
+
+
+@register("rolling_price_sums", _price_sums_sql(False))
+def q_rolling_price_sums(spark, sf_dir):
+    return _price_sums(spark, sf_dir, strict=False)
+
+
+@register("strict_rolling_price_sums", _price_sums_sql(True))
+def q_strict_rolling_price_sums(spark, sf_dir):
+    return _price_sums(spark, sf_dir, strict=True)
+
+
 # --- W3 (+A14): batter rolling features, the flagship --------------------------------------------
 def _batter_features_sql() -> str:
     part, order = "mlbam_id", "game_date, game_pk"

@@ -141,12 +141,10 @@ SELECT CASE WHEN h.rollsum_OBP_30 >= 0.34 THEN 'Hot' ELSE 'Cold' END AS home_obp
   count(*) AS games, {S.rnd('avg(g.home_victory) * 100', 1)} AS home_win_pct
 FROM gk g
 LEFT JOIN team_stats h ON h.season = g.season AND h.game_pk = g.game_pk AND h.team = g.team_h
-WHERE g.season >= 1997
 GROUP BY 1"""))
 def q_bucket_rate(spark, sf_dir):
     f = T.pregame_team_features(games_keyed(spark, sf_dir), team_stats(spark, sf_dir),
                                 windows=[30], stats=["OBP"])
-    f = f.filter(F.col("season") >= 1997)
     bucket = F.when(F.col("OBP_30_h") >= 0.34, "Hot").otherwise("Cold")
     return bucket_rate(f, bucket, "home_victory", "home_obp_status", "games", "home_win_pct")
 

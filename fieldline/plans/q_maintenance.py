@@ -27,7 +27,7 @@ PG = S.pitcher_game_cte()
 
 # --- K3: upsert (delete matching keys, insert) --------------------------------------------------
 @register("upsert_rows", with_pitches(PG, """
-stale AS (SELECT * REPLACE (bfp + 1 AS bfp) FROM pg WHERE game_date < DATE '1999-01-01')""",
+stale AS (SELECT * REPLACE (bfp + 1 AS bfp) FROM pg)""",
                                       """
 src AS (SELECT * FROM pg WHERE year(game_date) = 1998)""", body="""
 SELECT * FROM stale t WHERE NOT EXISTS (
@@ -36,8 +36,7 @@ SELECT * FROM stale t WHERE NOT EXISTS (
 UNION ALL SELECT * FROM src"""))
 def q_upsert_rows(spark, sf_dir):
     pg = pitcher_games(spark, sf_dir)
-    stale = pg.filter(F.col("game_date") < F.lit(dt.date(1999, 1, 1))) \
-        .withColumn("bfp", F.col("bfp") + 1)
+    stale = pg.withColumn("bfp", F.col("bfp") + 1)
     src = pg.filter((F.col("game_date") >= F.lit(dt.date(1998, 1, 1)))
                     & (F.col("game_date") < F.lit(dt.date(1999, 1, 1))))
     return M.upsert(stale, src, KEYS)

@@ -50,7 +50,8 @@ SEASON_STATS_SCHEMA = T.StructType([
     T.StructField("stats", T.ArrayType(T.StructType([
         T.StructField("splits", T.ArrayType(T.StructType([
             T.StructField("player", T.StructType([T.StructField("id", T.LongType())])),
-            T.StructField("stat", T.MapType(T.StringType(), T.LongType())),
+            # Some stats are text (rates), so every value is read as text.
+            T.StructField("stat", T.MapType(T.StringType(), T.StringType())),
         ]))),
     ]))),
 ])
@@ -120,8 +121,8 @@ def flatten_lineups(docs: DataFrame, doc: str = "doc") -> DataFrame:
 
 
 def flatten_season_stats(docs: DataFrame, stat: str, doc: str = "doc") -> DataFrame:
-    """Season stats -> (player id, stat value or NULL when absent)."""
+    """Season stats -> (player id, whole-number stat or NULL when absent or not a number)."""
     splits = docs.select(F.explode(F.col(f"{doc}.stats")).alias("s")).select(
         F.explode(F.col("s.splits")).alias("x"))
     return splits.select(F.col("x.player.id").alias("player_id"),
-                         F.col("x.stat").getItem(stat).alias(stat))
+                         F.col("x.stat").getItem(stat).try_cast("long").alias(stat))

@@ -155,3 +155,13 @@ def test_unpivot_covers_team_that_never_visits(spark):
                                   "game_pk long, team_h string, team_v string, H_h long, H_v long")
     rows = rows_of(T.unpivot_sides(games).select("team", "game_pk", "H", "home_game", "opponent"))
     assert rows == [("A", 1, 3, 1, "B"), ("A", 2, 1, 1, "C"), ("B", 1, 4, 0, "A"), ("C", 2, 2, 0, "A")]
+
+
+def test_season_stats_with_text_values(spark):
+    docs = spark.createDataFrame([(
+        '{"stats":[{"splits":[{"player":{"id":5},"stat":{"plateAppearances":600,"avg":".300"}},'
+        '{"player":{"id":6},"stat":{"plateAppearances":12}},{"player":{"id":7},"stat":{"avg":"-"}}]}]}',)], "j string")
+    from fieldline.sources import payloads
+
+    out = payloads.flatten_season_stats(payloads.parse(docs, "j", payloads.SEASON_STATS_SCHEMA), "plateAppearances")
+    assert sorted(tuple(r) for r in out.collect()) == [(5, 600), (6, 12), (7, None)]

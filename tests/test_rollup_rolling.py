@@ -101,6 +101,32 @@ def test_rolling_sums_match_pandas(spark, strict):
                                            exp.reset_index(drop=True), check_names=False)
 
 
+@pytest.mark.parametrize("strict", [False, True])
+def test_rolling_sums_of_general_doubles(spark, strict):
+    """Huge values, NaN, NULL and decimal fractions: what leaves a window leaves no trace."""
+    nan = float("nan")
+    values = [1e16, 1.0, 2.0, 3.0, 0.1, 0.2, nan, 0.3, None, 0.7, -1e300, 1.1, 2.2, 3.3]
+    rows = [(1, i, v) for i, v in enumerate(values)] + [(2, i, 0.1 * i) for i in range(20)]
+    df = spark.createDataFrame(rows, "e long, t long, f double")
+    out = rolling.rolling_sums(df, ["f"], [2, 3], "e", ["t"], strict=strict).orderBy("e", "t").collect()
+    for r in out:
+        for w in (2, 3):
+            past = [v for e, t, v in rows if e == r.e and r.t - w <= t < r.t]
+            held = [v for v in past if v is not None and not math.isnan(v)]
+            want = sum(held) if len(held) >= (w if strict else 1) else None
+            got = r[f"rollsum_f_{w}"]
+            assert got is None if want is None else math.isclose(got, want, rel_tol=1e-12)
+
+
+def test_season_scope_keeps_one_exchange(spark):
+    rows = [(e, dt.date(2019 + i // 6, 1, 1 + i % 6), i, i % 2, 1.5) for e in range(3) for i in range(12)]
+    games = spark.createDataFrame(rows, "mlbam_id long, game_date date, game_pk long, hr long, ev_sum double")
+    games = games.withColumn("_season", F.year("game_date"))
+    df = rolling.rolling_sums(games, ["hr", "ev_sum"], [3], ["mlbam_id", "_season"], ["game_date", "game_pk"])
+    df = rolling.last_non_null_per_key(df, ["mlbam_id", "_season", "game_date"], ["game_pk"])
+    assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
 def test_no_leak(spark):
     """Changing a row's own value or later rows never changes its features."""
     rows = [(1, i, i % 3) for i in range(20)]
