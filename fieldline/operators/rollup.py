@@ -42,6 +42,11 @@ def first_by_order(value: str | Column, order: Column) -> Column:
     return F.min_by(v, order)
 
 
+def first_row(order: Column, **values: Column) -> Column:
+    """Struct of the first row's values in ``order``: one buffer and one comparison for all of them."""
+    return F.min_by(F.struct(*[v.alias(k) for k, v in values.items()]), order)
+
+
 def first_non_null(value: str | Column, order: Column) -> Column:
     """First non-null value in ``order``; NULL when every value is NULL."""
     v = F.col(value) if isinstance(value, str) else value
@@ -85,16 +90,13 @@ def batter_game_rollup(
     batted = pa & F.col("launch_speed").isNotNull()
     order = _order_key(df, order_cols)
     speed, angle = F.col("launch_speed"), F.col("launch_angle")
-    opt_str = lambda c: first_by_order(c, order) if _has(df, c) else F.lit("")
+    text = lambda c: F.col(c) if _has(df, c) else F.lit("")
     aggs = [
         F.count_if(pa).alias("_pa"),
-        first_by_order("inning_topbot", order).alias("_topbot"),
-        first_by_order("home_team", order).alias("_home_team"),
-        first_by_order("away_team", order).alias("_away_team"),
-        opt_str("stand").alias("stand"),
-        opt_str("p_throws").alias("p_throws"),
-        (first_by_order(opponent_pitcher, order) if _has(df, opponent_pitcher)
-         else F.lit(None).cast("long")).alias("opp_pitcher_id"),
+        first_row(order, topbot=F.col("inning_topbot"), home_team=F.col("home_team"),
+                  away_team=F.col("away_team"), stand=text("stand"), p_throws=text("p_throws"),
+                  opp_pitcher_id=F.col(opponent_pitcher) if _has(df, opponent_pitcher)
+                  else F.lit(None).cast("long")).alias("_first"),
         (F.min("inning") == 1).cast("int").alias("opp_is_starter"),
         (first_non_null(F.col("age_bat").cast("double"), order) if _has(df, "age_bat")
          else F.lit(None).cast("double")).alias("age"),
@@ -120,14 +122,15 @@ def batter_game_rollup(
     ]
     g = df.groupBy(F.col(player).alias("mlbam_id"), F.col(date).alias("game_date"),
                    F.col(game).alias("game_pk")).agg(*aggs).filter(F.col("_pa") > 0)
-    is_home = F.col("_topbot") == "Bot"
-    right = F.col("p_throws") == "R"
-    left = F.col("p_throws") == "L"
+    is_home = F.col("_first.topbot") == "Bot"
+    right = F.col("_first.p_throws") == "R"
+    left = F.col("_first.p_throws") == "L"
     return g.select(
         "mlbam_id", "game_date", "game_pk",
-        F.when(is_home, F.col("_away_team")).otherwise(F.col("_home_team")).alias("opponent"),
+        F.when(is_home, F.col("_first.away_team")).otherwise(F.col("_first.home_team"))
+        .alias("opponent"),
         is_home.cast("int").alias("is_home"),
-        "stand", "p_throws", "opp_pitcher_id", "opp_is_starter", "age",
+        "_first.stand", "_first.p_throws", "_first.opp_pitcher_id", "opp_is_starter", "age",
         "ab", "h", "x2b", "x3b", "hr", "bb", "hbp", "sf",
         F.when(right, F.col("hr")).otherwise(0).alias("hr_vs_r"),
         F.when(right, F.col("ab")).otherwise(0).alias("ab_vs_r"),
@@ -163,9 +166,8 @@ def pitcher_game_rollup(
                    F.col(game).alias("game_pk"))
         .agg(
             F.count_if(pa).alias("bfp"),
-            first_by_order("inning_topbot", order).alias("_topbot"),
-            first_by_order("home_team", order).alias("_home_team"),
-            first_by_order("away_team", order).alias("_away_team"),
+            first_row(order, topbot=F.col("inning_topbot"), home_team=F.col("home_team"),
+                      away_team=F.col("away_team")).alias("_first"),
             (F.min("inning") == 1).cast("int").alias("gs"),
             F.sum(F.when(pa, outs_expr(ev, outs_map)).otherwise(0)).cast("long").alias("outs"),
             F.count_if(pa & ev.isin(HIT_EVENTS)).alias("h"),
@@ -182,10 +184,11 @@ def pitcher_game_rollup(
         )
         .filter(F.col("bfp") > 0)
     )
-    is_home = F.col("_topbot") == "Top"
+    is_home = F.col("_first.topbot") == "Top"
     return g.select(
         "mlbam_id", "game_date", "game_pk",
-        F.when(is_home, F.col("_away_team")).otherwise(F.col("_home_team")).alias("opponent"),
+        F.when(is_home, F.col("_first.away_team")).otherwise(F.col("_first.home_team"))
+        .alias("opponent"),
         is_home.cast("int").alias("is_home_pitcher"),
         "gs",
         (F.col("outs") / F.lit(3.0)).alias("ip"),

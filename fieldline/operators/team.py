@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldline.functions import constants as K
@@ -45,11 +45,17 @@ def unpivot_sides(games: DataFrame, home_team: str = "team_h", visitor_team: str
     every team appears, including one that never visits.
     """
     cols = games.columns
-    home = [F.col(s).alias(t) for s, t in side_columns(cols, home_suffix, visitor_suffix)]
-    away = [F.col(s).alias(t) for s, t in side_columns(cols, visitor_suffix, home_suffix)]
-    h = games.select(*home, F.lit(1).alias("home_game"), F.col(visitor_team).alias("opponent"))
-    v = games.select(*away, F.lit(0).alias("home_game"), F.col(home_team).alias("opponent"))
-    return h.unionByName(v)
+    home = {t: s for s, t in side_columns(cols, home_suffix, visitor_suffix)}
+    away = {t: s for s, t in side_columns(cols, visitor_suffix, home_suffix)}
+    if home.keys() != away.keys():
+        raise ValueError(f"columns of one side only: {sorted(home.keys() ^ away.keys())}")
+
+    def view(source: dict[str, str], home_game: int, opponent: str) -> Column:
+        return F.struct(*[F.col(source[t]).alias(t) for t in home],
+                        F.lit(home_game).alias("home_game"), F.col(opponent).alias("opponent"))
+
+    # One pass over the games, however they were built.
+    return games.select(F.inline(F.array(view(home, 1, visitor_team), view(away, 0, home_team))))
 
 
 def team_rolling(team_games: DataFrame, windows: Sequence[int] = K.TEAM_WINDOWS,
@@ -83,16 +89,21 @@ def pregame_team_features(games: DataFrame, team_stats: DataFrame,
                           home_team: str = "team_h", visitor_team: str = "team_v") -> DataFrame:
     """Attach each side's pre-game window stats: ``{stat}_{w}_h`` and ``{stat}_{w}_v``.
 
-    Two equi-joins of the same team table on (key, team); Catalyst picks the join strategy from
-    runtime sizes.
+    Team rows that say which side they are (``home_game``, one row per game and side, as
+    ``unpivot_sides`` makes them) are put back on one row per game by a single aggregation and joined
+    once. Without that column the team table is joined per side on (key, team).
     """
     key = list(key)
     names = [f"rollsum_{s}_{w}" for w in windows for s in stats]
+    if "home_game" in team_stats.columns:
+        sides = [F.max(F.when(F.col("home_game") == flag, F.col(n))).alias(f"{n.removeprefix('rollsum_')}_{suffix}")
+                 for suffix, flag in (("h", 1), ("v", 0)) for n in names]
+        return games.join(team_stats.groupBy(*key).agg(*sides), key, "left")
 
     def side(suffix: str, team_col: str) -> DataFrame:
         return team_stats.select(
             *[F.col(k) for k in key], F.col("team").alias(team_col),
-            *[F.col(n).alias(f"{n[len('rollsum_'):]}_{suffix}") for n in names],
+            *[F.col(n).alias(f"{n.removeprefix('rollsum_')}_{suffix}") for n in names],
         )
 
     out = games.join(side("h", home_team), [*key, home_team], "left")

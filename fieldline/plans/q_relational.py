@@ -156,9 +156,9 @@ def q_recent_top(spark, sf_dir):
 def lineup_rows(p, where=None):
     if where is not None:
         p = p.filter(where)
-    b = p.select("game_pk", F.col("batter").alias("player_id"), F.lit("batter").alias("role"))
-    q = p.select("game_pk", F.col("pitcher").alias("player_id"), F.lit("pitcher").alias("role"))
-    return b.unionByName(q)
+    both = F.array(*[F.struct(F.col(r).alias("player_id"), F.lit(r).alias("role"))
+                     for r in ("batter", "pitcher")])
+    return p.select("game_pk", F.inline(both))  # one pass over the pitches
 
 
 ROSTER_SQL = """
