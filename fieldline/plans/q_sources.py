@@ -71,6 +71,102 @@ def q_schedule_flatten(spark, sf_dir):
     return P.flatten_schedule(docs)
 
 
+# --- S2: boxscores, one per order; suppliers play, every third pitches ------------------------------
+def order_players(spark, sf_dir):
+    """One row per order line as a player: id 0 (unknown) for some suppliers."""
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_suppkey") % 50 != 0, F.col("l_suppkey")).otherwise(0).alias("id"),
+        F.when(F.col("l_suppkey") % 3 == 0, "P").otherwise("SS").alias("abbreviation"))
+
+
+def _side(value, odd: bool):
+    return F.collect_list(F.when(F.col("l_linenumber") % 2 == int(odd), value))
+
+
+@register("boxscore_flatten", """
+SELECT DISTINCT l_orderkey AS game_pk,
+  CASE WHEN l_suppkey % 3 = 0 THEN 'pitcher' ELSE 'batter' END AS role, l_suppkey AS player_id
+FROM lineitem WHERE l_suppkey % 50 <> 0""")
+def q_boxscore_flatten(spark, sf_dir):
+    player = F.struct(F.struct("id").alias("person"), F.struct("abbreviation").alias("position"))
+    sides = order_players(spark, sf_dir).groupBy("l_orderkey").agg(
+        _side(player, True).alias("h"), _side(player, False).alias("a"))
+
+    def named(side: str):
+        keys = F.transform(side, lambda x, i: F.concat(F.lit("ID"), i.cast("string")))
+        return F.struct(F.map_from_arrays(keys, F.col(side)).alias("players"))
+
+    teams = F.struct(named("h").alias("home"), named("a").alias("away"))
+    docs = sides.select(F.col("l_orderkey").alias("game_pk"), F.to_json(F.struct(teams.alias("teams"))).alias("payload"))
+    return P.flatten_boxscore(P.parse(docs, "payload", P.BOXSCORE_SCHEMA))
+
+
+# --- S3: line-ups; only games with players on both sides are posted --------------------------------
+@register("lineups_flatten", """
+WITH posted AS (
+  SELECT l_orderkey FROM lineitem GROUP BY 1
+  HAVING count(*) FILTER (WHERE l_linenumber % 2 = 1) > 0 AND count(*) FILTER (WHERE l_linenumber % 2 = 0) > 0
+)
+SELECT l_orderkey AS game_pk, CASE WHEN l_suppkey % 3 = 0 THEN 'pitcher' ELSE 'batter' END AS role,
+  l_suppkey AS player_id
+FROM lineitem JOIN posted USING (l_orderkey) WHERE l_suppkey % 50 <> 0
+UNION SELECT l_orderkey, 'pitcher', 1000000 + l_orderkey FROM posted WHERE l_orderkey % 2 = 0""")
+def q_lineups_flatten(spark, sf_dir):
+    player = F.struct("id", F.struct("abbreviation").alias("primaryPosition"))
+    sides = order_players(spark, sf_dir).groupBy("l_orderkey").agg(
+        _side(player, True).alias("homePlayers"), _side(player, False).alias("awayPlayers"))
+    probable = F.when(F.col("l_orderkey") % 2 == 0, F.struct((F.lit(1000000) + F.col("l_orderkey")).alias("id")))
+    game = F.struct(F.col("l_orderkey").alias("gamePk"),
+                    F.struct("homePlayers", "awayPlayers").alias("lineups"),
+                    F.struct(F.struct(probable.alias("probablePitcher")).alias("home")).alias("teams"))
+    doc = F.struct(F.array(F.struct(F.array(game).alias("games"))).alias("dates"))
+    docs = P.parse(sides.select(F.to_json(doc).alias("payload")), "payload", P.SCHEDULE_SCHEMA)
+    return P.flatten_lineups(docs)
+
+
+# --- S5: season stats whose values are numbers and text side by side --------------------------------
+@register("season_stats_flatten", """
+SELECT o_custkey AS player_id,
+  CASE WHEN o_custkey % 7 <> 0 THEN count(*) END AS "plateAppearances"
+FROM orders GROUP BY o_custkey""")
+def q_season_stats_flatten(spark, sf_dir):
+    per = load(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"))
+    stat = F.struct(F.when(F.col("o_custkey") % 7 != 0, F.col("n")).alias("plateAppearances"),
+                    F.lit(".300").alias("avg"))
+    split = F.struct(F.struct(F.col("o_custkey").alias("id")).alias("player"), stat.alias("stat"))
+    doc = F.struct(F.array(F.struct(F.array(split).alias("splits"))).alias("stats"))
+    docs = P.parse(per.select(F.to_json(doc).alias("payload")), "payload", P.SEASON_STATS_SCHEMA)
+    return P.flatten_season_stats(docs, "plateAppearances")
+
+
+# --- S14: the range of dates to fetch per season -----------------------------------------------------
+@register("fetch_range", """
+SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS season, make_date(year(o_orderdate), 3, 1) AS range_start,
+  CASE WHEN year(o_orderdate) = 1998 THEN DATE '1998-06-15' ELSE make_date(year(o_orderdate), 11, 30) END
+    AS range_end
+FROM orders""")
+def q_fetch_range(spark, sf_dir):
+    return C.fetch_range(seasons(spark, sf_dir), F.lit("1998-06-15").cast("date"))
+
+
+# --- P17: cleaning of landed text pitches ------------------------------------------------------------
+@register("clean_pitches", with_pitches(body="""
+SELECT game_pk AS GAME_PK, at_bat_number AS AT_BAT_NUMBER, pitch_number AS PITCH_NUMBER,
+  CASE WHEN game_pk % 11 <> 0 THEN game_date END AS GAME_DATE,
+  CASE WHEN game_pk % 13 <> 0 THEN release_speed END AS RELEASE_SPEED
+FROM pitches"""))
+def q_clean_pitches(spark, sf_dir):
+    p = pitch_view(spark, sf_dir)
+    landed = p.select(
+        "game_pk", "at_bat_number", "pitch_number",
+        F.when(F.col("game_pk") % 11 != 0, F.col("game_date").cast("string")).otherwise("n/a").alias("game_date"),
+        F.when(F.col("game_pk") % 13 != 0, F.col("release_speed").cast("string")).otherwise("--").alias("release_speed"),
+        F.lit("x").alias("column_of_a_later_feed"))
+    return Q.clean_pitches(landed, known_columns=landed.columns[:-1])
+
+
 # --- S11, S12, F14: calendars per season found in the data -------------------------------------
 def seasons(spark, sf_dir):
     return load(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("season")).distinct()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +18,19 @@ def gamelog_schema(columns: Sequence[str], numeric: Sequence[str] = (),
     ])
 
 
+def _found(spark: SparkSession, path: str) -> bool:
+    """Whether a path (or pattern) has files on its own file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    return found is not None and len(found) > 0
+
+
 def read_gamelogs(spark: SparkSession, path: str, schema: T.StructType,
                   require: bool = True) -> DataFrame:
     """Read one or many season files; a missing season raises ``ValueError``."""
     paths = [path] if isinstance(path, str) else list(path)
     if require:
-        missing = [p for p in paths if "://" not in p and not os.path.exists(p)]
+        missing = [p for p in paths if not _found(spark, p)]
         if missing:
             raise ValueError(f"Season game logs not available: {', '.join(missing)}")
     return (spark.read.schema(schema)

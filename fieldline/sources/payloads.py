@@ -83,11 +83,10 @@ def flatten_schedule(docs: DataFrame, doc: str = "doc", date_col: str | None = N
 
 def flatten_boxscore(docs: DataFrame, doc: str = "doc", game_col: str = "game_pk") -> DataFrame:
     """Boxscore -> distinct (game, role, player id); position P is a pitcher, others batters."""
-    sides = [
-        docs.select(game_col, F.explode(F.col(f"{doc}.teams.{s}.players")).alias("k", "p"))
-        for s in ("home", "away")
-    ]
-    rows = sides[0].unionByName(sides[1])
+    # Both sides in one pass; a side that the document lacks has no players.
+    sides = F.array(*[F.map_values(F.col(f"{doc}.teams.{s}.players")) for s in ("home", "away")])
+    players = F.flatten(F.filter(sides, lambda x: x.isNotNull()))
+    rows = docs.select(game_col, F.explode(players).alias("p"))
     pid = F.col("p.person.id")
     role = F.when(F.col("p.position.abbreviation") == "P", "pitcher").otherwise("batter")
     return (rows.filter(pid.isNotNull() & (pid != 0))
@@ -101,23 +100,14 @@ def flatten_lineups(docs: DataFrame, doc: str = "doc") -> DataFrame:
         F.explode(F.col("d.games")).alias("g"))
     posted = games.filter((F.size(F.coalesce(F.col("g.lineups.homePlayers"), F.array())) > 0)
                           & (F.size(F.coalesce(F.col("g.lineups.awayPlayers"), F.array())) > 0))
-    players = posted.select(
-        F.col("g.gamePk").alias("game_pk"),
-        F.explode(F.concat(F.col("g.lineups.homePlayers"), F.col("g.lineups.awayPlayers")))
-        .alias("p"))
-    pid = F.col("p.id")
-    listed = players.filter(pid.isNotNull() & (pid != 0)).select(
-        "game_pk",
-        F.when(F.col("p.primaryPosition.abbreviation") == "P", "pitcher").otherwise("batter")
-        .alias("role"),
-        pid.alias("player_id"))
-    probable = posted.select(
-        F.col("g.gamePk").alias("game_pk"),
-        F.explode(F.array(F.col("g.teams.home.probablePitcher.id"),
-                          F.col("g.teams.away.probablePitcher.id"))).alias("player_id"),
-    ).filter(F.col("player_id").isNotNull() & (F.col("player_id") != 0)).select(
-        "game_pk", F.lit("pitcher").alias("role"), "player_id")
-    return listed.unionByName(probable).dropDuplicates()
+    # Listed players and probable pitchers become entries of one array, so games are read once.
+    entry = lambda role, pid: F.struct(role.alias("role"), pid.alias("player_id"))
+    listed = F.transform(
+        F.concat(F.col("g.lineups.homePlayers"), F.col("g.lineups.awayPlayers")),
+        lambda p: entry(F.when(p["primaryPosition"]["abbreviation"] == "P", F.lit("pitcher")).otherwise(F.lit("batter")), p["id"]))
+    probable = F.array(*[entry(F.lit("pitcher"), F.col(f"g.teams.{s}.probablePitcher.id")) for s in ("home", "away")])
+    rows = posted.select(F.col("g.gamePk").alias("game_pk"), F.inline(F.concat(listed, probable)))
+    return rows.filter(F.col("player_id").isNotNull() & (F.col("player_id") != 0)).dropDuplicates()
 
 
 def flatten_season_stats(docs: DataFrame, stat: str, doc: str = "doc") -> DataFrame:

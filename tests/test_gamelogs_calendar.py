@@ -49,3 +49,17 @@ def test_weekly_chunks_last_piece_is_cut(spark):
         "chunk_start").collect()
     assert (out[0].chunk_start, out[0].chunk_end) == ("2023-03-20", "2023-03-26")
     assert out[-1].chunk_end == "2023-10-15"
+
+
+def test_missing_season_with_a_scheme_raises(spark, tmp_table_dir):
+    import os
+
+    from fieldline.sources.gamelogs import gamelog_schema, read_gamelogs
+
+    schema = gamelog_schema(["date", "runs"], numeric=["runs"])
+    path = os.path.join(tmp_table_dir, "gl2020.csv")
+    with pytest.raises(ValueError, match="gl2020"):
+        read_gamelogs(spark, f"file://{path}", schema)
+    with open(path, "w") as f:
+        f.write('"20200401",3\n')
+    assert read_gamelogs(spark, f"file://{path}", schema).collect()[0].runs == 3.0
