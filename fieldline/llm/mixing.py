@@ -19,7 +19,6 @@ documents and whole texts.
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -57,27 +56,17 @@ class DomainModel:
         return e / e.sum()
 
 
-def fit_domain_model(texts: list[str], domains: list[str], max_features: int = MAX_FEATURES, steps: int = 200,
-                     rate: float = 0.1, decay: float = 1e-3) -> DomainModel:
-    """Softmax regression on presence features (full-batch Adam from zero)."""
-    names = sorted(set(domains))
-    y = np.array([names.index(d) for d in domains], np.int64)
+def fit_softmax(rows: list[list[int]], y: np.ndarray, names: list[str], vocabulary: dict[str, int], steps: int = 200,
+                rate: float = 0.1, decay: float = 1e-3) -> DomainModel:
+    """Softmax regression on presence features (full-batch Adam from zero); ``rows``: each text's features by number."""
     k = max(1, len(names))
-    sets = [features(t) for t in texts]
-    per: list[Counter] = [Counter() for _ in range(k)]
-    for s, c in zip(sets, y.tolist()):
-        per[c].update(s)
     size = np.bincount(y, minlength=k) + 1.0
-    total = sum(per, Counter())
-    # A feature's worth: by how many documents its count in some domain differs from an even spread.
-    worth = {f: max(abs(p[f] - n * s / size.sum()) for p, s in zip(per, size)) / n ** 0.5 for f, n in total.items() if n > 2}
-    best = sorted(worth, key=lambda f: (-worth[f], f))[:max_features]
-    vocabulary = {f: i for i, f in enumerate(best)}
-    x = np.zeros((len(sets), len(best)), np.float32)
-    for i, s in enumerate(sets):
-        x[i, [vocabulary[f] for f in s & vocabulary.keys()]] = 1
-    one = np.eye(k, dtype=np.float32)[y]
+    x = np.zeros((len(rows), len(vocabulary)), np.float32)
+    for i, own in enumerate(rows):
+        x[i, own] = 1
+    best = vocabulary
     w, b = np.zeros((len(best), k), np.float32), np.log(size / size.sum())
+    one = np.eye(k, dtype=np.float32)[y]
     w = np.vstack([w, b.astype(np.float32)])  # the bias is the weight of a feature that every text has
     x = np.hstack([x, np.ones((len(x), 1), np.float32)])
     held = np.append(np.ones(len(best)), 0)[:, None]  # only the bias is free of decay
@@ -92,10 +81,12 @@ def fit_domain_model(texts: list[str], domains: list[str], max_features: int = M
     return DomainModel(names, vocabulary, w.astype(np.float64), b)
 
 
-def fit_domains(docs: DataFrame, labelled: DataFrame, max_docs: int = MAX_DOCS) -> DomainModel:
+def fit_domains(docs: DataFrame, labelled: DataFrame, max_docs: int = MAX_DOCS, max_features: int = MAX_FEATURES) -> DomainModel:
     """Fit on ``docs`` (doc_id, text) and a labelled table (doc_id, domain).
 
     Rows without id or domain are passed over; of several domains of an id the first by name counts.
+    Features are counted and chosen in Spark; the driver gets the numbers of each sampled text's chosen
+    features.
     """
     known = labelled.where("doc_id is not null and domain is not null")
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("domain").alias("domain"))
@@ -103,18 +94,38 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, max_docs: int = MAX_DOCS)
     # Only ids found in docs may fill the sample; it has at most max_docs rows of (id, name).
     present = known.join(texts.select("doc_id"), "doc_id", "left_semi")
     sample = present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
-    found = texts.join(F.broadcast(sample), "doc_id").mapInArrow(_feature_batches, "doc_id long, domain string, found array<string>")
-    rows = sorted({(r.doc_id, r.domain, tuple(r.found)) for r in found.collect()})
-    return fit_domain_model([" ".join(f) for _, _, f in rows], [d for _, d, _ in rows])
+    found = checkpoint(texts.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id", "text"]))
+    sizes = {r.domain: r["count"] for r in found.groupBy("domain").count().collect()}
+    names, total = sorted(sizes), sum(sizes.values())
+    if not names:
+        return DomainModel([], {}, np.zeros((0, 1)), np.zeros(1))
+    # A feature's worth: by how many texts its count in some domain differs from an even spread.
+    counts = found.mapInArrow(_feature_rows, "domain string, feature string").groupBy("feature").agg(
+        F.count("*").alias("n"), *[F.count(F.when(F.col("domain") == d, 1)).alias(f"n{i}") for i, d in enumerate(names)])
+    uneven = [F.abs(F.col(f"n{i}") - F.col("n") * F.lit(sizes[d] / total)) for i, d in enumerate(names)]
+    worth = (F.greatest(*uneven) if len(uneven) > 1 else uneven[0]) / F.sqrt("n")
+    best = counts.where("n > 2").orderBy(worth.desc(), "feature").limit(max_features).select("feature").collect()
+    vocabulary = {r.feature: i for i, r in enumerate(best)}
+    rows = found.mapInArrow(_sample_rows(vocabulary), "doc_id long, domain string, own array<int>").collect()
+    rows = sorted((r.doc_id, r.domain, tuple(r.own)) for r in rows)
+    return fit_softmax([list(own) for _, _, own in rows], np.array([names.index(d) for _, d, _ in rows]), names, vocabulary)
+
+
+def _feature_rows(batches):
+    for batch in batches:
+        for domain, text in zip(batch.column("domain").to_pylist(), batch.column("text").to_pylist()):
+            own = list(features(text))
+            yield pa.RecordBatch.from_arrays([pa.array([domain] * len(own), pa.string()), pa.array(own, pa.string())], ["domain", "feature"])
 
 
-def _feature_batches(batches):
-    """The distinct words of each sampled text: what the driver needs of it, however long it is."""
-    for batch in batches:
-        words = [sorted(set((t or "").lower().split())) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("domain"), pa.array(words, pa.list_(pa.string()))], ["doc_id", "domain", "found"]
-        )
+def _sample_rows(vocabulary: dict[str, int]):
+    def run(batches):
+        for batch in batches:
+            own = [sorted(vocabulary[f] for f in features(t) & vocabulary.keys()) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("domain"), pa.array(own, pa.list_(pa.int32()))], ["doc_id", "domain", "own"])
+
+    return run
 
 
 def _posterior_batches(model: DomainModel, grid: int):
