@@ -20,6 +20,7 @@ documents and whole texts.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -183,13 +184,14 @@ def fit_rates(members: DataFrame, targets: list[float] | None, n_domains: int, w
     Targets are token totals, or follow from ``weights``: the anchor domain's expected tokens are its
     target and the others' targets stand to it as their weights.
     """
-    cells = checkpoint(members.groupBy("cell").agg(F.sum("n_tokens").alias("tokens")))
+    # There are at most comb(grid + K - 1, K - 1) cells, so few partitions are enough for every step.
+    parts = min(200, -(-comb(grid + n_domains - 1, n_domains - 1) // 50_000))
+    cells = checkpoint(members.groupBy("cell").agg(F.sum("n_tokens").alias("tokens")).coalesce(parts))
 
     def expected(steps: list[np.ndarray]) -> np.ndarray:
-        parts = cells.mapInArrow(_rate_batches(np.array(steps), max_rate, grid, True), "k int, e double")
         e = np.zeros(n_domains)
-        for r in parts.groupBy("k").agg(F.sum("e").alias("e")).collect():
-            e[r.k] = r.e
+        for r in cells.mapInArrow(_rate_batches(np.array(steps), max_rate, grid, True), "k int, e double").collect():
+            e[r.k] += r.e  # one sum per batch of cells and domain
         return e
 
     now = expected([])
