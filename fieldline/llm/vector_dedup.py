@@ -6,11 +6,14 @@
 2. Each part builds a graph: a node's candidates are its nearest in the part, pruned robustly (a
    candidate goes if one kept before is nearer to it by the factor ``ALPHA``), plus reverse edges.
 3. The adjacency lists of all parts are united per node.
-4. Each node is searched for in its shards on the united graph: a greedy best-first search from the
-   shard's medoids, then, from every node found near the range, on to all its neighbours until
-   none is new. Similarities are in double precision, and only pairs at or above the threshold link.
-5. The recall against brute force is audited on a sample of nodes; below ``RECALL`` the graph is built
-   again with more overlap.
+4. Each node is searched for in its shards on the united graph: a greedy best-first search from its
+   own neighbours and the shard's medoids, then, from every node found near the range, on to all its
+   neighbours until none is new. Similarities are in double precision, and only pairs at or above
+   the threshold link.
+5. The recall against brute force is audited on a sample of all nodes and on one of the nodes found
+   linked; below ``RECALL`` in either the graph is built again with more overlap. If that does not
+   help, the pairs are compared exactly: a shard's own nodes with each other and with all nodes that
+   the triangle inequality does not keep beyond the threshold (``_exact_links``).
 
 A pair is counted in one place (the first shard both have, in the cell of its two parts), which returns
 counts per node and a spanning forest, never the pairs.
@@ -42,6 +45,7 @@ MEDOIDS = 8
 SLACK = 0.05
 AUDIT = 256
 RECALL = 0.98
+MAX_OVERLAP = 4
 
 
 def robust_prune(x: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA, candidates: int = CANDIDATES) -> list[np.ndarray]:
@@ -98,7 +102,8 @@ def range_search(x: np.ndarray, table: np.ndarray, queries: np.ndarray, threshol
     """Pairs (query row, found row) with cosine >= threshold, the query itself left out.
 
     ``table``: (rows, width) neighbours, -1 where a row has fewer. All queries of a call move together:
-    each step expands every query's best unexpanded node, then all its nodes near the range.
+    from its own neighbours and the medoids, each step expands every query's best unexpanded node,
+    then all its nodes near the range.
     """
     n, out = len(x), []
     starts = _starts(x)
@@ -107,8 +112,7 @@ def range_search(x: np.ndarray, table: np.ndarray, queries: np.ndarray, threshol
         s = np.full((len(q), n), -np.inf)
         done = np.zeros((len(q), n), bool)
         s[:, starts] = x[q] @ x[starts].T
-        s[np.arange(len(q)), q] = -2  # a query is no answer and no stepping stone to itself
-        done[np.arange(len(q)), q] = True
+        s[np.arange(len(q)), q] = -2  # a query is no answer to itself
 
         def expand(r, c):
             """Look at the neighbours of node c of query row r, for all such pairs."""
@@ -123,6 +127,7 @@ def range_search(x: np.ndarray, table: np.ndarray, queries: np.ndarray, threshol
                 a, b = r[i:i + (1 << 16)], to[i:i + (1 << 16)]
                 s[a, b] = np.einsum("ij,ij->i", x[q[a]], x[b])
 
+        expand(np.arange(len(q)), q)
         active = np.arange(len(q))
         kth = max(0, n - beam)
         while len(active):
@@ -246,6 +251,109 @@ def _graph_links(nodes: DataFrame, n: int, size: int, threshold: float, overlap:
     return cells.groupBy("shard", "i", "j").applyInPandas(_search(size, threshold), "node long, links long, root long")
 
 
+def _home(centres: np.ndarray, size: int):
+    """Adds the nearest centre and the angle to it."""
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = unit(matrix(batch.column("v"), size))
+            own = nearest(x, centres, 1).ravel()
+            angle = np.arccos(np.clip(np.einsum("ij,ij->i", x, centres[own]), -1, 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.int64()), pa.array(angle)],
+                                             [*batch.schema.names, "home", "angle"])
+
+    return run
+
+
+def _reach(centres: np.ndarray, radii: np.ndarray, size: int, threshold: float):
+    """Adds the shards before a node's own that may hold a partner of it, and its own."""
+    far = radii + np.arccos(np.clip(threshold, -1, 1)) + 1e-6
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, home = unit(matrix(batch.column("v"), size)), batch.column("home").to_numpy()
+            near = np.arccos(np.clip(x @ centres.T, -1, 1)) <= far
+            shards = [[*np.flatnonzero(row[:h]).tolist(), h] for row, h in zip(near, home.tolist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shards, pa.list_(pa.int64()))],
+                                             [*batch.schema.names, "shards"])
+
+    return run
+
+
+def _compare_cell(size: int, threshold: float):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("node", ignore_index=True)
+        node, copies, left = (pdf[c].to_numpy() for c in ("node", "copies", "left"))
+        x = unit(np.array(pdf["v"].tolist(), float).reshape(-1, size))
+        links, parent = np.zeros(len(node), np.int64), np.arange(len(node))
+        right = pdf["right"].to_numpy()
+        rows, cols = np.flatnonzero(left), np.flatnonzero(right)
+        for low in range(0, len(rows), 512):
+            a, b = np.nonzero(x[rows[low:low + 512]] @ x[cols].T >= threshold)
+            a, b = rows[low + a], cols[b]
+            fresh = (a < b) | ~(left[b] & right[a])  # a pair inside one chunk is met from both sides
+            a, b = a[fresh], b[fresh]
+            np.add.at(links, a, copies[b])
+            np.add.at(links, b, copies[a])
+            join_sets(parent, a, b)
+        root, linked = _roots(parent, np.arange(len(node))), links > 0
+        return pd.DataFrame({"node": node[linked], "links": links[linked], "root": node[root[linked]]})
+
+    return run
+
+
+def _exact_links(nodes: DataFrame, n: int, size: int, threshold: float) -> DataFrame:
+    """As ``_graph_links``, without a graph: no pair at or above the threshold is left out.
+
+    A pair is met in the lower of its nodes' home shards. The other node is a guest there, as its angle to
+    the centre is at most the shard's radius and the threshold's angle together. Chunks of home nodes are
+    compared with chunks of home nodes and guests, at most about SHARD_CAP each.
+    """
+    shards = min(MAX_SHARDS, max(1, round(n / SHARD_AIM)))
+    centres = kmeans(unit(sample_rows(nodes, "node", "v", SAMPLE)), shards)
+    centres[~centres.any(axis=1), 0] = 1  # a mean may vanish; any direction will do
+    centres = unit(centres)
+    homed = checkpoint(nodes.mapInArrow(_home(centres, size), "node long, copies long, v array<double>, home long, angle double"))
+    radii = np.zeros(len(centres))
+    for r in homed.groupBy("home").agg(F.max("angle").alias("radius")).collect():  # at most MAX_SHARDS rows
+        radii[r.home] = r.radius
+    spread = homed.drop("angle").mapInArrow(_reach(centres, radii, size, threshold),
+                                            "node long, copies long, v array<double>, home long, shards array<long>")
+    spread = checkpoint(spread.withColumn("shard", F.explode("shards")).drop("shards").withColumn("guest", F.col("home") != F.col("shard")))
+    counts = spread.groupBy("shard").agg(F.ceil(F.count_if(~F.col("guest")) / F.lit(float(SHARD_CAP))).cast("int").alias("own"),
+                                         F.ceil(F.count_if("guest") / F.lit(float(SHARD_CAP))).cast("int").alias("guests"))
+    dealt = spread.join(F.broadcast(counts), "shard").where("own > 0")
+    chunk = lambda parts: F.pmod(F.xxhash64("node", F.lit(11)), parts).cast("int")
+    upto = lambda low, high: F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+    own, guests, c = F.col("own"), F.col("guests"), F.col("chunk")
+    mine = dealt.where("!guest").withColumn("chunk", chunk(own))
+    as_left = mine.withColumn("i", c).withColumn("j", F.explode(upto(c, own + guests - 1)))
+    as_right = mine.withColumn("j", c).withColumn("i", F.explode(upto(F.lit(0), c - 1)))
+    visiting = dealt.where("guest").withColumn("chunk", chunk(guests)).withColumn("j", own + c)
+    visiting = visiting.withColumn("i", F.explode(upto(F.lit(0), own - 1)))
+    cells = as_left.withColumn("left", F.lit(True)).withColumn("right", F.col("i") == F.col("j")).unionByName(
+        as_right.unionByName(visiting).withColumn("left", F.lit(False)).withColumn("right", F.lit(True)))
+    cells = cells.select("shard", "i", "j", "node", "copies", "v", "left", "right")
+    return cells.groupBy("shard", "i", "j").applyInPandas(_compare_cell(size, threshold), "node long, links long, root long")
+
+
+def _recall(plain: DataFrame, sample: list, found: DataFrame, size: int, threshold: float) -> float:
+    """The smaller of the share of the sampled nodes' links that ``found`` has, and the mean share a node."""
+    if not sample:
+        return 1.0
+    x = unit(np.array([r.v for r in sample], float))
+    true = plain.mapInArrow(_true_links(x, size, threshold), "k int, links long").groupBy("k").agg(F.sum("links").alias("n"))
+    true = {sample[r.k].node: r.n - sample[r.k].copies for r in true.collect()}  # a node's own copies are no links of the graph
+    got = {r.node: r.n for r in found.where(F.col("node").isin(list(true))).groupBy("node").agg(F.sum("links").alias("n")).collect()}
+    pairs = [(got.get(k, 0), n) for k, n in true.items() if n > 0]
+    if not pairs:
+        return 1.0
+    return min(sum(g for g, _ in pairs) / sum(n for _, n in pairs), sum(g / n for g, n in pairs) / len(pairs))
+
+
 def near_dedup(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", column: str = "embedding",
                overlap: int = 2) -> DataFrame:
     """One row per row of ``vectors``: vec_id, n_links, component_id, kept.
@@ -271,20 +379,16 @@ def near_dedup(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_i
     keyed = checkpoint(keyed.withColumn("node", F.when(F.col("again"), mixed).otherwise(F.col("node"))).drop("again"))
     plain = keyed.select("node", "copies", "v")
     n = plain.count()
-    sample = keyed.orderBy(F.xxhash64("node", F.lit(5)), "node").limit(AUDIT).select("node", "copies", "v").collect()
-    found = None
-    if n:
-        x = unit(np.array([r.v for r in sample], float))
-        true = plain.mapInArrow(_true_links(x, size, threshold), "k int, links long").groupBy("k").agg(F.sum("links").alias("n"))
-        true = {r.k: r.n - sample[r.k].copies for r in true.collect()}  # a node's own copies are no links of the graph
-        while True:
-            found = checkpoint(_graph_links(plain, n, size, threshold, overlap))
-            ids = [r.node for r in sample]
-            got = {r.node: r.n for r in found.where(F.col("node").isin(ids)).groupBy("node").agg(F.sum("links").alias("n")).collect()}
-            recall = sum(got.values()) / max(1, sum(true.values())) if sum(true.values()) else 1.0
-            if recall >= RECALL or overlap >= 4:
-                break
-            overlap += 1
+    drawn = lambda rows: rows.orderBy(F.xxhash64("node", F.lit(5)), "node").limit(AUDIT).select("node", "copies", "v").collect()
+    sample, found = drawn(plain), None
+    while n:
+        exact = overlap > MAX_OVERLAP
+        found = checkpoint(_exact_links(plain, n, size, threshold) if exact else _graph_links(plain, n, size, threshold, overlap))
+        if exact or _recall(plain, sample, found, size, threshold) >= RECALL and _recall(
+                plain, drawn(plain.join(found.select("node").distinct(), "node", "left_semi")), found, size, threshold) >= RECALL:
+            break
+        # In a single shard more overlap changes nothing.
+        overlap = overlap + 1 if round(n / SHARD_AIM) > 1 else MAX_OVERLAP + 1
     if found is None:
         found = vectors.sparkSession.createDataFrame([], "node long, links long, root long")
     total = found.groupBy("node").agg(F.sum("links").alias("links"))

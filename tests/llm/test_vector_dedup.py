@@ -93,3 +93,27 @@ def test_range_search_finds_tight_balls(n):
         table[i, : len(own)] = own
     a, _ = V.range_search(x, table, np.arange(n), 0.9)
     assert len(a) == n * (n - 1)
+
+
+def test_links_of_many_tight_groups_in_one_shard(spark):
+    rng = np.random.default_rng(8)
+    x = np.repeat(rng.normal(size=(12, 64)), 80, axis=0) + rng.normal(size=(960, 64)) * 0.02
+    lists = V.robust_prune(V.unit(x))
+    table = np.full((960, max(map(len, lists))), -1)
+    for i, own in enumerate(lists):
+        table[i, : len(own)] = own
+    assert len(V.range_search(V.unit(x), table, np.arange(960), 0.95)[0]) == 12 * 80 * 79
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in V.near_dedup(df).collect()) == brute(rows)
+
+
+def test_exact_comparison_when_the_graph_fails(spark, monkeypatch):
+    rows = vectors(700)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    graph = V._graph_links
+    monkeypatch.setattr(V, "_graph_links", lambda *a: graph(*a).where("node % 2 = 0"))
+    for aim, cap in ((1000, 4000), (100, 4000), (300, 90)):
+        monkeypatch.setattr(V, "SHARD_AIM", aim)
+        monkeypatch.setattr(V, "SHARD_CAP", cap)
+        assert sorted(tuple(r) for r in V.near_dedup(df).collect()) == brute(rows)
