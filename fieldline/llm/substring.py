@@ -1,9 +1,15 @@
 """Substring dedup by content-defined chunking with a gear rolling hash.
 
-A text's UTF-8 bytes are cut where a gear hash of the last 16 bytes has two fixed bits clear, so cuts
-move with the content and an insertion changes only the chunks beside it. Cuts fall after white
-space (inside a run without white space only once it is ``LONG_WORD`` bytes long). A digest covers a
-chunk and its successor: digests repeat only where a passage does, not where a few common words do.
+A text's UTF-8 bytes may be cut after white space (inside a run without white space that is
+``LONG_WORD`` bytes long, after characters where a gear hash has two bits clear). Of these places those
+are cut whose gear hash is the least of some ``WINDOW`` places in a row (winnowing), so cuts move with
+the content, an insertion changes only the chunks beside it, and cuts are at most ``WINDOW`` places
+apart. The hash that is compared depends on the last 8 bytes only: all cuts of a repeated passage are
+the same in both texts, but for ``WINDOW`` - 1 places and 8 bytes at either end.
+
+A digest covers ``SPAN`` chunks in a row: digests repeat only where a passage does, not where a few
+common words do. A repeated passage of 50 words has 26 or more between its first and its last sure cut,
+in five chunks or more; so it is always found.
 
 Of each repeated digest the occurrence in the smallest id stays (within a text, the first). A run of
 repeated chunks is deleted if it holds at least ``min_words`` words.
@@ -20,11 +26,14 @@ from pyspark.sql import types as T
 
 from fieldline.llm.common import row_id
 
-MIN_BYTES = 16
+WINDOW = 6
+SPAN = 3
 MAX_BYTES = 4096
 LONG_WORD = 64
 MIN_WORDS = 25
 _GEAR = np.array([xxhash.xxh64_intdigest(bytes([i]), 7) & 0xFFFF for i in range(256)], np.uint16)
+#: The order in which the hash's low bytes are preferred as cuts.
+_ORDER = np.random.default_rng(7).permutation(256)
 _SPACE = np.isin(np.arange(256), np.frombuffer(b"\t\n\x0b\x0c\r ", np.uint8))
 
 
@@ -45,18 +54,22 @@ def cut_points(data: bytes) -> list[int]:
     b = np.frombuffer(data, np.uint8)
     h = gear_hash(b)
     space = _SPACE[b]
-    hit = space & (h & np.uint16(0xC000) == 0)
+    place = space & ~np.append(space[1:], False)  # the last of several
     at = np.arange(n)
     last = np.maximum.accumulate(np.where(space, at, -1))
-    # In a long run without white space a character's last byte may be a cut, if more bits are clear.
+    # In a long run without white space a character's last byte may be a cut, if two bits are clear.
     long_run = at - last >= LONG_WORD
     if long_run.any():
         ends = np.append(b[1:] & 0xC0 != 0x80, True)
-        hit |= long_run & ends & (h & np.uint16(0xFC00) == 0)
+        place |= long_run & ends & (h & np.uint16(0x00C0) == 0)
+    places = np.flatnonzero(place)
+    if len(places) > WINDOW:
+        order = _ORDER[h[places] & 0xFF]
+        window = np.lib.stride_tricks.sliding_window_view(order[::-1], WINDOW)[::-1]
+        # The last of equal ones: the view runs backwards, and argmin takes the first.
+        places = np.unique(places[np.arange(len(window)) + WINDOW - 1 - window.argmin(axis=1)])
     cuts, low = [], 0
-    for c in (np.flatnonzero(hit) + 1).tolist():
-        if c - low < MIN_BYTES:
-            continue
+    for c in (places + 1).tolist():
         if c - low > MAX_BYTES:
             _forced(data, low, c, cuts)
         cuts.append(c)
@@ -78,12 +91,12 @@ def _forced(data: bytes, low: int, high: int, cuts: list[int]) -> None:
 
 
 def digests(data: bytes, cuts: list[int]) -> list[int]:
-    """Per chunk but the last, the digest of the chunk and its successor (a lone chunk: of itself)."""
+    """Per run of SPAN chunks, its digest (fewer chunks: of them all)."""
     hashed = xxhash.xxh64_intdigest
     starts = [0, *cuts[:-1]]
-    if len(cuts) == 1:
+    if len(cuts) <= SPAN:
         return [hashed(data)]
-    return [hashed(data[i:j]) for i, j in zip(starts, cuts[1:])]
+    return [hashed(data[i:j]) for i, j in zip(starts, cuts[SPAN - 1:])]
 
 
 def _signed(values: list[int]) -> np.ndarray:
@@ -117,9 +130,7 @@ def repeated_spans(data: bytes, repeated: set[int], min_words: int = MIN_WORDS)
     seen: set[int] = set()
     for i, d in enumerate(digests(data, cuts)):
         if d in repeated or d in seen:
-            flags[i] = True
-            if i + 1 < len(cuts):
-                flags[i + 1] = True
+            flags[i:i + SPAN] = [True] * len(flags[i:i + SPAN])
         seen.add(d)
     spans, low = [], None
     starts = [0, *cuts[:-1]]

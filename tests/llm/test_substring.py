@@ -107,3 +107,16 @@ def test_repeats_inside_one_text(spark):
     df = spark.createDataFrame([(1, p + " " + q + " " + p)], "doc_id long, text string")
     r = S.substring_dedup(df).first()
     assert r.text.startswith(p + " " + q) and len(r.text) < len(p + q) + 150
+
+
+def test_every_passage_of_fifty_words_goes():
+    rng = random.Random(6)
+    vocab = [words(rng, 1) for _ in range(400)] + list("abcdefgh")
+    for n in (50, 51, 55, 60, 80):
+        for _ in range(400):
+            p = " ".join(rng.choice(vocab) for _ in range(n))
+            a, b = (f"{words(rng, rng.randint(5, 40))} {p} {words(rng, rng.randint(5, 40))}".encode() for _ in range(2))
+            spans = S.repeated_spans(b, set(S.digests(a, S.cut_points(a))))
+            assert len(spans) == 1
+            low, high = spans[0]
+            assert b[low:high].decode().strip() in p
