@@ -12,7 +12,9 @@ common words do. A repeated passage of 50 words has 26 or more between its first
 in five chunks or more; so it is always found.
 
 Of each repeated digest the occurrence in the smallest id stays (within a text, the first). A run of
-repeated chunks is deleted if it holds at least ``min_words`` words.
+repeated chunks is deleted if it holds at least ``min_words`` words, or ``WORD_CHARS`` code points for
+each of them (scripts without white space). A digest of its own kind covers the text as a whole: a text
+that is repeated as a whole is deleted whatever its length.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ SPAN = 3
 MAX_BYTES = 4096
 LONG_WORD = 64
 MIN_WORDS = 25
+#: A run without enough words is long enough with so many code points for each word asked for (150 for 25).
+WORD_CHARS = 6
 _GEAR = np.array([xxhash.xxh64_intdigest(bytes([i]), 7) & 0xFFFF for i in range(256)], np.uint16)
 #: The order in which the hash's low bytes are preferred as cuts.
 _ORDER = np.random.default_rng(7).permutation(256)
@@ -91,12 +95,11 @@ def _forced(data: bytes, low: int, high: int, cuts: list[int]) -> None:
 
 
 def digests(data: bytes, cuts: list[int]) -> list[int]:
-    """Per run of SPAN chunks, its digest (fewer chunks: of them all)."""
+    """Per run of SPAN chunks, its digest (fewer chunks: of them all); last, that of the text as a whole."""
     hashed = xxhash.xxh64_intdigest
     starts = [0, *cuts[:-1]]
-    if len(cuts) <= SPAN:
-        return [hashed(data)]
-    return [hashed(data[i:j]) for i, j in zip(starts, cuts[SPAN - 1:])]
+    own = [hashed(data[i:j]) for i, j in zip(starts, cuts[SPAN - 1:])] if len(cuts) > SPAN else [hashed(data)]
+    return [*own, hashed(data, 1)]
 
 
 def _signed(values: list[int]) -> np.ndarray:
@@ -128,7 +131,10 @@ def repeated_spans(data: bytes, repeated: set[int], min_words: int = MIN_WORDS)
     cuts = cut_points(data)
     flags = [False] * len(cuts)
     seen: set[int] = set()
-    for i, d in enumerate(digests(data, cuts)):
+    *own, whole = digests(data, cuts)
+    if whole in repeated:
+        return [(0, len(data))]
+    for i, d in enumerate(own):
         if d in repeated or d in seen:
             flags[i:i + SPAN] = [True] * len(flags[i:i + SPAN])
         seen.add(d)
@@ -139,7 +145,8 @@ def repeated_spans(data: bytes, repeated: set[int], min_words: int = MIN_WORDS)
             low = starts[i]
         elif not flag and low is not None:
             high = cuts[i - 1]
-            if len(data[low:high].split()) >= min_words:
+            part = data[low:high]
+            if len(part.split()) >= min_words or len(part.decode("utf-8", "surrogatepass")) >= WORD_CHARS * min_words:
                 spans.append((low, high))
             low = None
     return spans

@@ -120,3 +120,27 @@ def test_every_passage_of_fifty_words_goes():
             assert len(spans) == 1
             low, high = spans[0]
             assert b[low:high].decode().strip() in p
+
+
+def test_unspaced_text_and_short_whole_texts(spark):
+    rng = random.Random(7)
+    han = lambda n: "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(n))
+    p, run, doc = han(2000), "".join(rng.choice("acgt") for _ in range(3000)), han(400)
+    rows = [(1, han(300) + p + han(300)), (2, han(200) + p + han(100)), (3, words(rng, 30) + " " + run), (4, words(rng, 40) + " " + run),
+            (5, doc), (6, doc), (7, "all of it"), (8, "all of it"), (9, "all of it and more"), (10, han(500))]
+    got = {r.doc_id: r.text for r in S.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    by = dict(rows)
+    assert all(got[d] == by[d] for d in (1, 3, 5, 7, 9, 10))
+    assert got[6] == got[8] == ""
+    assert len(got[2]) < 300 + 150 and got[2].startswith(by[2][:200]) and got[2].endswith(by[2][-100:])
+    assert len(got[4]) < len(by[4]) - 3000 + 200
+    assert got == brute(rows)
+
+
+def test_unspaced_passages_are_found():
+    rng = random.Random(8)
+    han = lambda n: "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(n))
+    for _ in range(200):
+        p = han(300)
+        a, b = ((han(100) + p + han(100)).encode() for _ in range(2))
+        assert S.repeated_spans(b, set(S.digests(a, S.cut_points(a))))
