@@ -52,7 +52,7 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(counts * 2 > len(h), bitorder="little").view("<u8")[0])
 
 
-def _fingerprint_batches(shingle: int):
+def _fingerprint_batches(shingle: int, carried: list[str]):
     def run(batches):
         for batch in batches:
             seen: dict[str | None, int] = {}
@@ -63,7 +63,7 @@ def _fingerprint_batches(shingle: int):
                 out.append(seen[text])
             fp = np.array(out, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row_id"), pa.array(fp)], ["doc_id", "row_id", "fp"]
+                [*(batch.column(c) for c in carried), pa.array(fp)], [*carried, "fp"]
             )
 
     return run
@@ -243,19 +243,13 @@ def fingerprint_links(reps: DataFrame, radius: int, n: int) -> DataFrame:
     return cells.groupBy("t", "key", "i", "j").applyInPandas(_cell_links(radius), "a long, b long")
 
 
-def simhash_dedup(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """Near-duplicate groups of ``docs`` (doc_id, text; further columns are ignored).
-
-    Returns one row per input row: doc_id, row_id, fingerprint (16 hex digits), component_id (the
-    smallest doc_id linked directly or through others, itself included) and ``kept`` (this row's id is
-    the smallest). Words are runs without ASCII white space, A-Z in lower case. A null or wordless
-    text has fingerprint zero and links like any other. A null doc_id gets a surrogate ``row_id``
-    larger than any id; its component_id is null only if no member of the component has an id. Rows
-    that repeat a doc_id stay rows of their own. An empty table gives an empty result.
-    """
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_id("doc_id", "text").alias("row_id"),
+def _grouped(docs: DataFrame, shingle: int, radius: int, more: list[Column] = []) -> DataFrame:
+    """doc_id, row_id, the columns ``more``, fp, set (the component's label) and best (its smallest row_id), a row a document."""
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_id("doc_id", "text").alias("row_id"), *more,
                        F.col("text").cast("string").alias("text"))
-    fps = checkpoint(base.mapInArrow(_fingerprint_batches(shingle), "doc_id long, row_id long, fp long"))
+    kinds = base.drop("text").dtypes
+    schema = ", ".join(f"{name} {kind}" for name, kind in kinds) + ", fp long"
+    fps = checkpoint(base.mapInArrow(_fingerprint_batches(shingle, [name for name, _ in kinds]), schema))
     reps = checkpoint(fps.groupBy("fp").agg(F.min("row_id").alias("rep")))
     links = fingerprint_links(reps.select("fp"), radius, reps.count())
     sets = connected_components(links)
@@ -265,10 +259,23 @@ def simhash_dedup(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFra
     # Few fingerprints are linked at all: only these need their component's smallest id looked up.
     linked = named.where("component is not null")
     best = linked.groupBy("set").agg(F.min("rep").alias("best"))
-    class_of = linked.join(best, "set").select("fp", "best").unionByName(
-        named.where("component is null").select("fp", F.col("rep").alias("best"))
+    class_of = linked.join(best, "set").select("fp", "set", "best").unionByName(
+        named.where("component is null").select("fp", "set", F.col("rep").alias("best"))
     )
-    return fps.join(class_of, "fp").select(
+    return fps.join(class_of, "fp")
+
+
+def simhash_dedup(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
+    """Near-duplicate groups of ``docs`` (doc_id, text; further columns are ignored).
+
+    Returns one row per input row: doc_id, row_id, fingerprint (16 hex digits), component_id (the
+    smallest doc_id linked directly or through others, itself included) and ``kept`` (this row's id is
+    the smallest). Words are runs without ASCII white space, A-Z in lower case. A null or wordless
+    text has fingerprint zero and links like any other. A null doc_id gets a surrogate ``row_id``
+    larger than any id; its component_id is null only if no member of the component has an id. Rows
+    that repeat a doc_id stay rows of their own. An empty table gives an empty result.
+    """
+    return _grouped(docs, shingle, radius).select(
         "doc_id", "row_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.when(F.col("best") < SURROGATE, F.col("best")).alias("component_id"),
         (F.col("row_id") == F.col("best")).alias("kept"),
@@ -276,7 +283,15 @@ def simhash_dedup(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFra
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: that of the smallest id (one of its copies)."""
-    kept = simhash_dedup(docs, shingle, radius).where("kept").select(F.col("row_id").alias("__row"))
-    out = docs.withColumn("__row", row_id("doc_id", "text")).join(kept.distinct(), "__row", "left_semi")
-    return out.dropDuplicates(["__row"]).drop("__row")
+    """``docs`` with one row of each near-duplicate group: that of the smallest id.
+
+    If rows of a group repeat that id, the one with the smallest text hash stays (of equal texts, any one).
+    Rows that repeat an id in different groups all stay.
+    """
+    text = F.xxhash64(F.col("text").cast("string"))
+    kept = _grouped(docs, shingle, radius, [text.alias("hash")]).where("row_id = best").groupBy("set").agg(
+        F.min("row_id").alias("__row"), F.min("hash").alias("__hash"))
+    # Rows of one id and text have one fingerprint, so they are in one group.
+    out = docs.withColumn("__row", row_id("doc_id", "text")).withColumn("__hash", text)
+    out = out.join(kept.select("__row", "__hash"), ["__row", "__hash"], "left_semi")
+    return out.dropDuplicates(["__row", "__hash"]).drop("__row", "__hash")

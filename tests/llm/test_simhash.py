@@ -116,3 +116,14 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert S.keep_one(df).columns == df.columns
     none = spark.createDataFrame([], schema)
     assert S.simhash_dedup(none).count() == 0 and S.keep_one(none).count() == 0
+
+
+def test_rows_of_one_id_in_different_groups_all_stay(spark):
+    rng = random.Random(9)
+    a, b, c = (" ".join(f"{x}{rng.randrange(500)}" for _ in range(80)) for x in "abc")
+    rows = [(7, a), (7, b), (7, b.upper()), (7, c), (2, c), (8, a), (9, b), (9, None), (9, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted(((r.doc_id, r.text) for r in S.keep_one(df).collect()), key=str)
+    assert len(got) == 4 and (7, a) in got and (2, c) in got
+    assert sum(d == 7 and t.lower() == b for d, t in got if t) == 1
+    assert sum(d == 9 and not t for d, t in got) == 1
