@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldline.llm import chat, mixing, quality, warc
+from fieldline.llm import chat, fim, mixing, quality, warc
 from fieldline.llm.common import read_table
 from fieldline.llm.html import extract_text
 from fieldline.llm.nearest import nearest_neighbours
@@ -95,3 +95,15 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash_dedup(read_table(spark, sf_dir, "documents"), shingle=3, radius=3)
     return out.select("doc_id", "fingerprint", "component_id", "kept")
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.fim_transform(read_table(spark, sf_dir, "documents"), seed=7, rate=100, spm_rate=50)
+    return out.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.fim_restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op12_fill_in_middle"] = fim.ORACLE_SQL
