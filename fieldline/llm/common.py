@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,8 @@ from fieldline.session import ensure_checkpoint_dir
 
 #: Ids at or above this value stand for rows whose own id is null (see ``row_id``).
 SURROGATE = 1 << 62
+#: Bytes of text that a task works on at once (or one longer text).
+SLICE_BYTES = 32 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +45,17 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def row_slices(texts: pa.Array, size: int | None = None):
+    """(first row, number of rows) of slices of about ``size`` bytes, at least one row each."""
+    size = size or SLICE_BYTES
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    low, base = 0, 0
+    while low < len(texts):
+        high = max(low + 1, int(np.searchsorted(ends, base + size, "right")))
+        yield low, high - low
+        low, base = high, int(ends[high - 1])
+
+
 def row_id(id_col: str, *content: str) -> Column:
     """The row's id, or for a null id a surrogate drawn from its content.
 

@@ -11,7 +11,7 @@ cumulative counts for its word and then resolving the select inside the word: a
 the running count of each byte lane, a subtraction compares all lanes with the wanted rank at once.
 Code points are counted the same way, by marking the bytes that continue one. No text is decoded
 and no line is materialised; time and memory are linear in the bytes of a slice, which holds
-SLICE_BYTES or one longer text.
+32 MB or one longer text.
 
 Cases. A null text is empty. An empty text, or one that holds a sentinel, stays plain (its counts of
 code points are null). A null id draws its cuts from the empty decimal. Equal rows give equal rows;
@@ -29,11 +29,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldline.llm.common import row_slices
+
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 SEED = 7
 #: Of a hundred documents, how many are transformed, and how many of those put the suffix first.
 RATE, SPM_RATE = 100, 50
-SLICE_BYTES = 32 << 20
 
 LANES = np.uint64(0x0101010101010101)
 HIGH = np.uint64(0x8080808080808080)
@@ -140,16 +141,6 @@ def _transform(ids: list, texts: pa.Array, seed: int, rate: int, spm_rate: int):
     ]
 
 
-def row_slices(texts: pa.Array, size: int = SLICE_BYTES):
-    """(first row, number of rows) of slices of about ``size`` bytes, at least one row each."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
-    low, base = 0, 0
-    while low < len(texts):
-        high = max(low + 1, int(np.searchsorted(ends, base + size, "right")))
-        yield low, high - low
-        low, base = high, int(ends[high - 1])
-
-
 def fim_transform(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED,
                   rate: int = RATE, spm_rate: int = SPM_RATE) -> DataFrame:
     """One row per document: its id, n units, form, prefix_chars, middle_chars and the output text."""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldline.llm import chat, fim, mixing, quality, warc
+from fieldline.llm import chat, fim, mixing, quality, secrets, warc
 from fieldline.llm.common import read_table
 from fieldline.llm.html import extract_text
 from fieldline.llm.nearest import nearest_neighbours
@@ -97,6 +97,18 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "fingerprint", "component_id", "kept")
 
 
+@query
+def op11_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = secrets.vocabulary_words(public_tokenizers.path("byte_bpe_50k.json"))
+    found = secrets.scan_secrets(read_table(spark, sf_dir, "documents"), words)
+    spans = F.col("spans")
+    return found.select(
+        "doc_id", *[secrets.span_count(spans, k).alias(f"n_{k}") for k in secrets.KINDS],
+        F.sha2(secrets.spans_text(spans, secrets.KINDS[:3]), 256).alias("base_sha256"),
+        secrets.spans_text(spans).alias("spans"),
+    )
+
+
 @query
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fim.fim_transform(read_table(spark, sf_dir, "documents"), seed=7, rate=100, spm_rate=50)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from fieldline.llm import fim
+from fieldline.llm import common, fim
 from fieldline.llm.queries import ORACLES, QUERIES
 
 SCHEMA = "doc_id long, text string, n string, form string, output int"
@@ -56,7 +56,7 @@ def odd_texts():
 
 
 def test_equals_plain_slicing(spark, monkeypatch):
-    monkeypatch.setattr(fim, "SLICE_BYTES", 1000)
+    monkeypatch.setattr(common, "SLICE_BYTES", 1000)
     rows = [(i * 37 - 200, t) for i, t in enumerate(odd_texts())] + [(None, "null id\nb\nc\n"), (9, "twice\nx"), (9, "twice\nx")]
     docs = spark.createDataFrame([Row(doc_id=i, text=t, n="x", form="psm", output=1) for i, t in rows], SCHEMA).repartition(3)
     for params in ({}, {"seed": 3, "rate": 60, "spm_rate": 20}):
