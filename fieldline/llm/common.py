@@ -45,9 +45,8 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def row_slices(texts: pa.Array, size: int | None = None):
+def row_slices(texts: pa.Array, size: int):
     """(first row, number of rows) of slices of about ``size`` bytes, at least one row each."""
-    size = size or SLICE_BYTES
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     low, base = 0, 0
     while low < len(texts):

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldline.llm.common import row_slices
+from fieldline.llm import common
 
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 SEED = 7
@@ -146,11 +146,12 @@ def fim_transform(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per document: its id, n units, form, prefix_chars, middle_chars and the output text."""
     schema = docs.select(F.col(id_col).alias("id")).schema
     out_names = ["id", "n", "form", "prefix_chars", "middle_chars", "output"]
+    most = common.SLICE_BYTES
 
     def run(batches):
         for batch in batches:
             texts = pc.fill_null(batch.column("text").cast(pa.large_string()), "")
-            for low, rows in row_slices(texts):
+            for low, rows in common.row_slices(texts, most):
                 ids = batch.column("id").slice(low, rows)
                 columns = _transform(ids.to_pylist(), texts.slice(low, rows), seed, rate, spm_rate)
                 yield pa.RecordBatch.from_arrays([ids, *columns], out_names)

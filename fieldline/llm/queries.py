@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldline.llm import chat, fim, mixing, quality, secrets, warc
+from fieldline.llm import chat, collocations, fim, mixing, quality, secrets, warc
 from fieldline.llm.common import read_table
 from fieldline.llm.html import extract_text
 from fieldline.llm.nearest import nearest_neighbours
@@ -119,3 +119,12 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op12_fill_in_middle"] = fim.ORACLE_SQL
+
+
+@query
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return collocations.collocations(docs, min_count=10, max_words=3, top=2000, contained_percent=50)
+
+
+ORACLES["op13_phrase_collocations"] = collocations.ORACLE_SQL

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldline.llm.common import row_slices
+from fieldline.llm import common
 
 KINDS = ("assign", "access", "hex", "guess")
 #: About 10**9 guesses.
@@ -298,12 +298,13 @@ def scan_secrets(docs: DataFrame, words: Sequence[str], id_col: str = "doc_id",
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     span_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("bits", pa.float64())]))
     names = ("kind", "start", "end", "bits")
+    most = common.SLICE_BYTES
 
     def run(batches):
         cost = GuessCost(shared.value)
         for batch in batches:
             texts = batch.column("text").cast(pa.large_string())
-            for low, n in row_slices(texts):
+            for low, n in common.row_slices(texts, most):
                 found = [[dict(zip(names, s)) for s in scan_text(t.as_py(), cost, min_bits)] for t in texts.slice(low, n)]
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(low, n), pa.array(found, span_type)], ["id", "spans"])
 
