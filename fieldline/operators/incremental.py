@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldline.functions.scalar import key_text, roster_hash
+from fieldline.operators.segments import running_totals
 
 
 # --- batter-vs-pitcher history -------------------------------------------------------------------
@@ -33,9 +34,16 @@ def pair_history_increment(day_pairs: DataFrame, history: DataFrame,
     )
 
 
-def pair_history_rebuild(pair_games: DataFrame,
-                         pair: Sequence[str] = ("batter", "pitcher")) -> DataFrame:
-    """Full rebuild: running totals per pair over (date, game), current game included."""
+def pair_history_rebuild(pair_games: DataFrame, pair: Sequence[str] = ("batter", "pitcher"),
+                         rows_per_segment: int | None = None) -> DataFrame:
+    """Full rebuild: running totals per pair over (date, game), current game included.
+
+    ``rows_per_segment`` splits pairs with more games than that into segments with carried totals.
+    """
+    if rows_per_segment:
+        out = running_totals(pair_games, ["pa", "hr"], list(pair), ["game_date", "game_pk"], rows_per_segment)
+        return out.select(*pair, "game_date", "game_pk", "pa", "hr",
+                          F.col("total_pa").alias("bvp_pa_prior"), F.col("total_hr").alias("bvp_hr_prior"))
     w = (Window.partitionBy(*pair).orderBy("game_date", "game_pk")
          .rowsBetween(Window.unboundedPreceding, 0))
     return pair_games.select(

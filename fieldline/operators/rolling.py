@@ -24,6 +24,7 @@ from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
 from fieldline.functions import constants as K
 from fieldline.functions.scalar import safe_div, null_safe_greatest
+from fieldline.operators import segments
 
 UNBOUNDED = Window.unboundedPreceding
 
@@ -45,16 +46,27 @@ def rolling_sums(
     order: Sequence[str],
     strict: bool = False,
     name: str = "rollsum_{col}_{w}",
+    rows_per_segment: int | None = None,
+    grain: Column | None = None,
 ) -> DataFrame:
     """Append one lagged sum per (column, window) without another shuffle or sort.
 
+    With ``rows_per_segment`` the rows of entities with more rows than that are split over several tasks
+    (``operators.segments``; ``grain`` as there); the result is the same. ``df`` is then read once more
+    for exact counts, so it should be a stored table.
+
     lenient (strict=False): NULL only when the frame holds no value (first row too).
     strict: NULL unless all ``w`` preceding rows exist and hold a value.
     Non-nullable columns (rollup counts) share one row count instead of a count per column.
     """
-    spec = entity_window(entity, order)
     windows = list(windows)
     cols = [c for c in columns if c in df.columns]
+    if rows_per_segment:
+        parts = [entity] if isinstance(entity, str) else list(entity)
+        split = segments.with_segments(df, parts, order, rows_per_segment, max(windows), grain)
+        sums = rolling_sums(split, cols, windows, [*parts, segments.SEGMENT], order, strict, name)
+        return sums.where(~F.col(segments.HALO)).drop(segments.SEGMENT, segments.HALO)
+    spec = entity_window(entity, order)
     exact = [c for c in cols if not _is_floating(df, c)]
     prev = spec.rowsBetween(UNBOUNDED, -1)
     own = df.columns
@@ -182,6 +194,25 @@ def _scope_entity(entity: str, scope: str, date_col: str) -> list[str] | str:
     raise ValueError(f"unknown scope {scope!r}; use 'career' or 'season'")
 
 
+def _split(df: DataFrame, entity: str, scope: str, date_col: str, order: Sequence[str], windows: Sequence[int],
+           rows_per_segment: int | None) -> tuple[DataFrame, str | list[str], list[str]]:
+    """The rows, the columns to partition windows by, and the keys of the daily collapse, which keep that partitioning.
+
+    All games of a day are in one segment, so the collapse never crosses segments.
+    """
+    ent = _scope_entity(entity, scope, date_col)
+    keys = _collapse_keys(entity, scope, date_col)
+    if not rows_per_segment:
+        return df, ent, keys
+    ent = [ent] if isinstance(ent, str) else ent
+    df = segments.with_segments(df, ent, order, rows_per_segment, max(windows))
+    return df, [*ent, segments.SEGMENT], [*ent, segments.SEGMENT, date_col]
+
+
+def _without_halo(df: DataFrame) -> DataFrame:
+    return df.where(~F.col(segments.HALO)).drop(segments.HALO) if segments.HALO in df.columns else df
+
+
 def batter_rolling_features(
     games: DataFrame,
     windows: Sequence[int] = K.BATTER_WINDOWS,
@@ -190,16 +221,19 @@ def batter_rolling_features(
     game_col: str = "game_pk",
     scope: str = "career",
     collapse_days: bool = True,
+    rows_per_segment: int | None = None,
 ) -> DataFrame:
-    """Rolled-up batter games -> sums and rates per window; one row per (entity, date)."""
+    """Rolled-up batter games -> sums and rates per window; one row per (entity, date).
+
+    ``rows_per_segment`` splits entities with more games than that (see ``rolling_sums``).
+    """
     df = games.withColumn("_season", F.year(date_col)) if scope == "season" else games
-    df = rolling_sums(df, K.BATTER_SUM_COLUMNS, windows,
-                      _scope_entity(entity, scope, date_col), [date_col, game_col])
+    df, ent, keys = _split(df, entity, scope, date_col, [date_col, game_col], windows, rows_per_segment)
+    df = _without_halo(rolling_sums(df, K.BATTER_SUM_COLUMNS, windows, ent, [date_col, game_col]))
     df = df.select("*", *[r for w in windows for r in batter_rates(w)])
     if collapse_days:
-        df = last_non_null_per_key(df, _collapse_keys(entity, scope, date_col), [game_col],
-                                   _settled(games, K.BATTER_SUM_COLUMNS, windows))
-    return df.drop("_season") if scope == "season" else df
+        df = last_non_null_per_key(df, keys, [game_col], _settled(games, K.BATTER_SUM_COLUMNS, windows))
+    return df.drop("_season", segments.SEGMENT)
 
 
 def pitcher_rolling_features(
@@ -210,11 +244,12 @@ def pitcher_rolling_features(
     game_col: str = "game_pk",
     scope: str = "career",
     collapse_days: bool = True,
+    rows_per_segment: int | None = None,
 ) -> DataFrame:
     """Rolled-up pitcher games -> sums, plain and smoothed rates; one row per (entity, date).
 
     Innings are summed as exact outs and divided by 3 afterwards. A stat column missing from
-    the input counts as 0.
+    the input counts as 0. ``rows_per_segment`` splits entities with more games than that.
     """
     df = games
     for c in K.PITCHER_SUM_COLUMNS:
@@ -222,12 +257,12 @@ def pitcher_rolling_features(
             df = df.withColumn(c, F.lit(0).cast("long"))
     if scope == "season":
         df = df.withColumn("_season", F.year(date_col))
-    ent = _scope_entity(entity, scope, date_col)
     use_outs = "outs" in df.columns
     cols = [c for c in K.PITCHER_SUM_COLUMNS if not (c == "ip" and use_outs)]
     cols = cols + (["outs"] if use_outs else [])
     source = df
-    df = rolling_sums(df, cols, windows, ent, [date_col, game_col])
+    df, ent, keys = _split(df, entity, scope, date_col, [date_col, game_col], windows, rows_per_segment)
+    df = _without_halo(rolling_sums(df, cols, windows, ent, [date_col, game_col]))
     if use_outs:
         df = df.select("*", *[(F.col(f"rollsum_outs_{w}") / F.lit(3.0)).alias(f"rollsum_ip_{w}")
                               for w in windows])
@@ -237,5 +272,5 @@ def pitcher_rolling_features(
         settled = _settled(source, cols, windows)
         if "rollsum_outs_" in "".join(settled):
             settled += [f"rollsum_ip_{w}" for w in windows]
-        df = last_non_null_per_key(df, _collapse_keys(entity, scope, date_col), [game_col], settled)
-    return df.drop("_season") if scope == "season" else df
+        df = last_non_null_per_key(df, keys, [game_col], settled)
+    return df.drop("_season", segments.SEGMENT)

@@ -60,14 +60,14 @@ def unpivot_sides(games: DataFrame, home_team: str = "team_h", visitor_team: str
 
 def team_rolling(team_games: DataFrame, windows: Sequence[int] = K.TEAM_WINDOWS,
                  team: str = "team", order: Sequence[str] = ("date_dblhead",),
-                 scope: Sequence[str] = ("season",)) -> DataFrame:
+                 scope: Sequence[str] = ("season",), rows_per_segment: int | None = None) -> DataFrame:
     """Strict lagged sums of the team counts and BATAVG / OBP / SLG / OBS per window.
 
     ``scope`` adds partition columns: ``("season",)`` restarts every season (as the source
     computes one season at a time); ``()`` runs over the whole history.
     """
     df = rolling_sums(team_games, K.TEAM_SUM_COLUMNS, windows, [team, *scope], list(order),
-                      strict=True)
+                      strict=True, rows_per_segment=rows_per_segment)
     rates = []
     for w in windows:
         g = lambda c: F.col(f"rollsum_{c}_{w}")
