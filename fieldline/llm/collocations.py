@@ -5,9 +5,9 @@ Method, level-wise as in Apriori (a phrase can only be frequent if its sub-phras
 1. ``words``: counts of all words per language (one aggregation).
 2. For k = 1, 2, ...: a pass over the texts looks at neighbouring phrases of k words that both are
    possibly frequent (their hash is set in a bitmap of BITMAP_BITS bits) and adds up the hashes of
-   the phrases of k + 1 words that they make. Hashes that reach the threshold form the next bitmap;
-   the next pass writes down the distinct phrases whose hash is set. Collisions of hashes or bits
-   only ever add candidates, so the candidates are safe: every frequent phrase is one.
+   the phrases of k + 1 words that they make. Hashes that reach the threshold form the next bitmap,
+   and a second pass writes down the distinct phrases whose hash is set. Collisions of hashes or
+   bits only ever add candidates, so the candidates are safe: every frequent phrase is one.
 3. The candidates are split into shards by language and hash, and each shard becomes a double-array
    trie over UTF-8 bytes (built in a task). The tries are broadcast in rounds of at most
    ROUND_BYTES of phrases, whatever the number of candidates.
@@ -42,10 +42,12 @@ MIN_COUNT, MAX_WORDS, TOP = 10, 3, 2000
 #: A phrase is dropped for a longer one that has this share (in a hundred) of its count.
 CONTAINED_PERCENT = 50
 SCALE = 1_000_000
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
+#: Hashes that a task holds before it merges and hands them on.
+HELD_HASHES = 1 << 19
 BITMAP_BITS = 1 << 26
 #: Bytes of phrases in a trie, and in the tries that are broadcast at a time.
-SHARD_BYTES, ROUND_BYTES = 8 << 20, 32 << 20
+SHARD_BYTES, ROUND_BYTES = 4 << 20, 16 << 20
 
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 SPACE, PIECE = 32, 10
@@ -66,7 +68,7 @@ class Words:
         gap = (raw == SPACE) | (raw == PIECE)
         after_gap = np.concatenate([[True], gap[:-1]])
         first, last = np.flatnonzero(~gap & after_gap), np.flatnonzero(gap & ~after_gap)
-        breaks = np.cumsum(raw == PIECE)
+        breaks = np.cumsum(raw == PIECE, dtype=np.int32)
         closes = np.ones(len(first), bool)
         closes[:-1] = breaks[first[1:]] > breaks[last[:-1] - 1]
         size = last - first
@@ -114,6 +116,26 @@ def phrase_hashes(h: np.ndarray, longest: int) -> list[np.ndarray]:
     return out
 
 
+class HashCounts:
+    """Adds up hashes over many slices, in memory that does not grow."""
+
+    def __init__(self):
+        self.parts, self.held = [], 0
+
+    def add(self, h: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.parts.append(np.unique(h, return_counts=True))
+        self.held += len(self.parts[-1][0])
+        if self.held >= HELD_HASHES:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if self.held:
+            key, which = np.unique(np.concatenate([h for h, _ in self.parts]), return_inverse=True)
+            n = np.bincount(which, np.concatenate([n for _, n in self.parts])).astype(np.int64)
+            yield _table({"h": pa.array(key.view(np.int64), pa.int64()), "n": pa.array(n, pa.int64())})
+        self.__init__()
+
+
 def _is_set(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
     bit = h & np.uint64(len(bitmap) * 8 - 1)
     return (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
@@ -179,35 +201,44 @@ def word_bits(frequent: DataFrame) -> np.ndarray:
     return bitmap(frequent.select("lang", "word").mapInArrow(run, "h long"))
 
 
-def screen(texts: DataFrame, k: int, bits: np.ndarray, last: bool, min_count: int) -> DataFrame:
-    """One pass at level k: distinct candidate phrases of k words, and hashes of k + 1 words that reach ``min_count``.
+def _hits(words: Words, keys: np.ndarray, k: int, bitmap_k: np.ndarray) -> np.ndarray:
+    """Which words begin a phrase of k words of one piece whose hash is set."""
+    hit = _is_set(bitmap_k, keys)
+    for j in range(k - 1):
+        hit &= words.joined[j:j + len(hit)]
+    return hit
 
-    Rows (lang, phrase, null) and (null, null, h). Level 1 has no candidates, the last level no hashes.
-    """
+
+def screen(texts: DataFrame, k: int, bits: np.ndarray, min_count: int) -> DataFrame:
+    """Hashes h of the phrases of k + 1 words that reach ``min_count``, where both their phrases of k words are set."""
     shared, most = texts.sparkSession.sparkContext.broadcast(bits), SLICE_BYTES
 
     def run(batches):
-        bitmap_k = shared.value
+        held = HashCounts()
         for lang, words in _slices(batches, most):
-            h = word_hashes(lang, words.distinct.to_pylist())[words.ids]
-            keys = phrase_hashes(h, k + 1)
-            hit = _is_set(bitmap_k, keys[k - 1]) if len(h) >= k else np.zeros(0, bool)
-            for j in range(k - 1):
-                hit &= words.joined[j:j + len(hit)]
-            if k > 1:
-                found = words.phrases(words.distinct_at(np.flatnonzero(hit), k), k)
-                none = pa.nulls(len(found), pa.int64())
-                yield _table({"lang": pa.array([lang] * len(found), pa.string()), "phrase": pa.array(found, pa.binary()).cast(pa.string()),
-                              "h": none, "n": pa.array(np.ones(len(found), np.int64))})
-            if not last and len(hit) > 1:
-                both = hit[:-1] & hit[1:] & words.joined[k - 1:k - 1 + len(hit) - 1]
-                key, n = np.unique(keys[k][both], return_counts=True)
-                none = pa.nulls(len(key), pa.string())
-                yield _table({"lang": none, "phrase": none, "h": pa.array(key.view(np.int64), pa.int64()), "n": pa.array(n, pa.int64())})
-
-    rows = texts.mapInArrow(run, "lang string, phrase string, h long, n long")
-    rows = rows.groupBy("lang", "phrase", "h").agg(F.sum("n").alias("n"))
-    return checkpoint(rows.where(F.col("h").isNull() | (F.col("n") >= min_count)).drop("n"))
+            keys = phrase_hashes(word_hashes(lang, words.distinct.to_pylist())[words.ids], k + 1)
+            hit = _hits(words, keys[k - 1], k, shared.value)
+            if len(hit) > 1:
+                both = hit[:-1] & hit[1:] & words.joined[k - 1:k + len(hit) - 2]
+                yield from held.add(keys[k][both])
+        yield from held.flush()
+
+    rows = texts.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return checkpoint(rows.where(F.col("n") >= min_count).select("h"))
+
+
+def candidate_phrases(texts: DataFrame, k: int, bits: np.ndarray) -> DataFrame:
+    """The distinct (lang, phrase) of k words whose hash is set."""
+    shared, most = texts.sparkSession.sparkContext.broadcast(bits), SLICE_BYTES
+
+    def run(batches):
+        for lang, words in _slices(batches, most):
+            keys = phrase_hashes(word_hashes(lang, words.distinct.to_pylist())[words.ids], k)
+            hit = np.flatnonzero(_hits(words, keys[k - 1], k, shared.value))
+            found = words.phrases(words.distinct_at(hit, k), k)
+            yield _table({"lang": pa.array([lang] * len(found), pa.string()), "phrase": pa.array(found, pa.binary()).cast(pa.string())})
+
+    return checkpoint(texts.mapInArrow(run, "lang string, phrase string").distinct())
 
 
 class Trie:
@@ -385,14 +416,9 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int =
     words = word_counts(texts, min_count)
     frequent = words.where("word IS NOT NULL")
     bits, candidates = word_bits(frequent), []
-    for k in range(1, max_words + 1):
-        if k == 1 and max_words == 1:
-            break
-        found = screen(texts, k, bits, k == max_words, min_count)
-        if k > 1:
-            candidates.append(found.where("phrase IS NOT NULL").select("lang", "phrase"))
-        if k < max_words:
-            bits = bitmap(found.where("h IS NOT NULL"))
+    for k in range(2, max_words + 1):
+        bits = bitmap(screen(texts, k - 1, bits, min_count))
+        candidates.append(candidate_phrases(texts, k, bits))
     counts = frequent.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("k"), "n")
     if candidates:
         both = candidates[0]
