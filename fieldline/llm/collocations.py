@@ -26,6 +26,7 @@ rows count as often as they occur. Texts of any length are read whole; a task ho
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -281,6 +282,21 @@ class Trie:
             trie._grow(room)
         return cls(trie.base[:slots + 512], trie.check[:slots + 512], trie.accept[:slots + 512])
 
+    def packed(self) -> bytes:
+        """The arrays for sending: accepting states as a list, all compressed."""
+        ends = np.flatnonzero(self.accept >= 0).astype(np.int32)
+        arrays = np.concatenate([[len(self.base), len(ends)], self.base, self.check, ends, self.accept[ends]]).astype(np.int32)
+        return zlib.compress(arrays.tobytes(), 1)
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> Trie:
+        arrays = np.frombuffer(zlib.decompress(data), np.int32)
+        slots, n = int(arrays[0]), int(arrays[1])
+        base, check, ends, phrases = np.split(arrays[2:], np.cumsum([slots, slots, n]))
+        accept = np.full(slots, -1, np.int32)
+        accept[ends] = phrases
+        return cls(base, check, accept)
+
     def _grow(self, by: int) -> int:
         """Append slots; returns where they begin."""
         begin = len(self.check)
@@ -347,7 +363,7 @@ class Trie:
 
 
 def build_tries(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Candidates (lang, phrase) -> numbered phrases (lang, shard, id, phrase) and tries (lang, shard, n, n_bytes, arrays)."""
+    """Candidates (lang, phrase) -> numbered phrases (lang, shard, id, phrase) and tries (lang, shard, n, n_bytes, trie)."""
     size = F.octet_length("phrase")
     shards = candidates.groupBy("lang").agg(F.ceil(F.sum(size) / F.lit(SHARD_BYTES)).cast("int").alias("shards"))
     dealt = candidates.join(shards, "lang").select(
@@ -360,11 +376,10 @@ def build_tries(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
         phrases = [p.encode() for p in part["phrase"]]
         trie = Trie.build(phrases)
         return pd.DataFrame({"lang": [part["lang"].iloc[0]], "shard": [part["shard"].iloc[0]], "n": [len(phrases)],
-                             "n_bytes": [sum(map(len, phrases))], "base": [trie.base.tobytes()],
-                             "check": [trie.check.tobytes()], "accept": [trie.accept.tobytes()]})
+                             "n_bytes": [sum(map(len, phrases))], "trie": [trie.packed()]})
 
     tries = numbered.groupBy("lang", "shard").applyInPandas(
-        make, "lang string, shard int, n int, n_bytes long, base binary, check binary, accept binary")
+        make, "lang string, shard int, n int, n_bytes long, trie binary")
     return numbered, checkpoint(tries)
 
 
@@ -387,13 +402,14 @@ def count_phrases(texts: DataFrame, candidates: DataFrame) -> DataFrame:
     counted = spark.createDataFrame([], "lang string, shard int, id int, n long")
     for group in _rounds(tries.select("lang", "shard", "n_bytes").orderBy("lang", "shard").collect()):
         wanted = spark.createDataFrame([(r.lang, r.shard) for r in group], "lang string, shard int")
-        rows = tries.join(F.broadcast(wanted), ["lang", "shard"]).drop("n_bytes").collect()
-        shared = spark.sparkContext.broadcast([tuple(r) for r in rows])
+        rows = tries.join(F.broadcast(wanted), ["lang", "shard"]).select("lang", "shard", "n", "trie").toArrow()
+        shared = spark.sparkContext.broadcast(list(zip(*(c.to_pylist() for c in rows.columns))))
+        del rows
 
         def run(batches, shared=shared):
             by_lang = defaultdict(list)
-            for lang, shard, n, *arrays in shared.value:
-                by_lang[lang].append((shard, Trie(*(np.frombuffer(a, np.int32) for a in arrays)), np.zeros(n, np.int64)))
+            for lang, shard, n, trie in shared.value:
+                by_lang[lang].append((shard, Trie.unpacked(trie), np.zeros(n, np.int64)))
             for lang, words in _slices(batches, most):
                 for _, trie, counts in by_lang.get(lang, ()):
                     trie.count(words.text, words.start, counts)

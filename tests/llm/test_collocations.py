@@ -82,7 +82,7 @@ def test_trie_accepts_its_phrases_only():
     rng = random.Random(9)
     for size, alphabet in ((1, b"a"), (300, bytes(range(1, 10)) + b"abc"), (4000, bytes(range(33, 256))), (20_000, b"abcdefgh ")):
         phrases = sorted({bytes(rng.choice(alphabet) for _ in range(rng.randint(1, 7))).strip() or b"z" for _ in range(size)})
-        trie = C.Trie.build(phrases)
+        trie = C.Trie.unpacked(C.Trie.build(phrases).packed())
         probe = phrases + [bytes(rng.choice(alphabet) for _ in range(rng.randint(1, 8))).replace(b" ", b"a") for _ in range(2000)]
         for p in rng.sample(probe, min(len(probe), 1500)):
             text = np.frombuffer(p + b"\n", np.uint8)
