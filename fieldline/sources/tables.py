@@ -1,9 +1,15 @@
 """Parquet tables: reads under one declared schema and lossless writes for the maintenance operators.
 
 A table is a Parquet directory, optionally partitioned (e.g. by ``game_date``), with a small file
-``_table.json`` that declares its columns and its partition layout. Reads go through that schema, so a
-column added later is NULL in older files and a truncated table keeps its layout. Every writer first
-normalises nulls, declares new columns, projects the rows to the declared schema, and then writes.
+``_table-N.json`` that declares its columns and its partition layout; the highest N counts, so a new
+declaration is there before the old one goes. Reads go through that schema, so a column added later
+is NULL in older files and a truncated table keeps its layout. Every writer first normalises nulls,
+declares new columns, projects the rows to the declared schema, and then writes.
+
+A layout column is a column's name, or ``"column/width"`` for ranges of a number: rows whose
+``floor(column / width)`` agrees share a partition. A table keyed by ids that rise with time
+(``game_pk``) then rewrites only the ranges that a day's rows fall into. Range columns are the
+table's own; readers never see them.
 
 Rewrites that read the table they replace are first materialised with a reliable ``checkpoint()``, so
 the lineage no longer points at the files being replaced. Partitioned tables rewrite only the
@@ -26,7 +32,21 @@ from fieldline.operators import merge
 from fieldline.operators.quality import normalize_nulls
 from fieldline.session import materialize
 
-DECLARATION = "_table.json"
+DECLARATION = "_table-{:06d}.json"
+
+
+def _range_column(part: str) -> str:
+    """The physical partition column of a layout column."""
+    return f"_range_{part.split('/')[0]}" if "/" in part else part
+
+
+def _physical(parts: Sequence[str]) -> list[str]:
+    return [_range_column(p) for p in parts]
+
+
+def _with_ranges(df: DataFrame, parts: Sequence[str]) -> DataFrame:
+    ranges = [(p.split("/")[0], int(p.split("/")[1])) for p in parts if "/" in p]
+    return df.withColumns({f"_range_{c}": F.floor(F.col(c) / F.lit(w)).cast("long") for c, w in ranges}) if ranges else df
 
 
 def _fs(spark: SparkSession, path: str):
@@ -55,10 +75,20 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return _exists(spark, path)
 
 
+def _declarations(spark: SparkSession, path: str) -> list[str]:
+    """Names of the table's declarations, the one that counts last."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()]
+    return sorted(n for n in names if n.startswith("_table-") and n.endswith(".json"))
+
+
 def declaration(spark: SparkSession, path: str) -> tuple[T.StructType, list[str]]:
-    """Schema and partition columns of a table; read from its files where none are declared."""
-    fs, p = _fs(spark, f"{path}/{DECLARATION}")
-    if fs.exists(p):
+    """Schema and layout columns of a table; read from its files where none are declared."""
+    known = _declarations(spark, path)
+    if known:
+        fs, p = _fs(spark, f"{path}/{known[-1]}")
         stream = fs.open(p)
         text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         stream.close()
@@ -75,23 +105,37 @@ def declaration(spark: SparkSession, path: str) -> tuple[T.StructType, list[str]
 
 
 def _declare(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str]) -> None:
-    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+    """Write the next declaration under a name of its own, then drop the older ones."""
+    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields if f.name not in _own(partition_by)])
     text = json.dumps({"schema": nullable.jsonValue(), "partition_by": list(partition_by)})
-    fs, p = _fs(spark, f"{path}/{DECLARATION}")
+    known = _declarations(spark, path)
+    number = int(known[-1].removeprefix("_table-").removesuffix(".json")) + 1 if known else 1
+    fs, p = _fs(spark, f"{path}/{DECLARATION.format(number)}")
     tmp = _fs(spark, f"{path}/_{uuid.uuid4().hex}.json")[1]
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode()))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
     fs.rename(tmp, p)
+    for name in known:
+        fs.delete(_fs(spark, f"{path}/{name}")[1], False)
+
+
+def _own(parts: Sequence[str]) -> set[str]:
+    """Range columns, which only the table itself knows."""
+    return {_range_column(p) for p in parts if "/" in p}
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    """The table's rows with its range columns."""
+    recover(spark, path)
+    schema, parts = declaration(spark, path)
+    ranges = [T.StructField(c, T.LongType()) for c in sorted(_own(parts))]
+    return spark.read.schema(T.StructType([*schema.fields, *ranges])).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, where: Column | str | None = None,
                columns: Sequence[str] | None = None) -> DataFrame:
-    recover(spark, path)
-    schema, _ = declaration(spark, path)
-    df = spark.read.schema(schema).parquet(path).select(*[f.name for f in schema.fields])
+    df = _stored(spark, path).select(*[f.name for f in declaration(spark, path)[0].fields])
     if where is not None:
         df = df.filter(where)
     return df.select(*columns) if columns else df
@@ -119,23 +163,23 @@ def _aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def _prepared(spark: SparkSession, df: DataFrame, path: str) -> tuple[DataFrame, list[str]]:
-    """``df`` ready for an existing table, whose declaration gains the columns that are new in ``df``."""
+    """``df`` ready for an existing table, whose declaration gains the columns that are new in ``df``, and its partition columns."""
     schema, parts = declaration(spark, path)
     df = normalize_nulls(df)
     known = {f.name.lower() for f in schema.fields}
     new = [f for f in df.schema.fields if f.name.lower() not in known]
-    if new or not _exists(spark, f"{path}/{DECLARATION}"):
+    if new or not _declarations(spark, path):
         schema = T.StructType([*schema.fields, *new])
         _declare(spark, path, schema, parts)
-    return _aligned(df, schema), parts
+    return _with_ranges(_aligned(df, schema), parts), _physical(parts)
 
 
 def _create(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str]) -> int:
     """Write a table beside ``path`` and let it take the path's place. Returns the rows written."""
     staged, old = f"{path.rstrip('/')}._staged-{uuid.uuid4().hex}", f"{path.rstrip('/')}._former"
     seen = Observation()
-    w = df.observe(seen, F.count(F.lit(1)).alias("n")).write
-    (w.partitionBy(*partition_by) if partition_by else w).parquet(staged)
+    w = _with_ranges(df.drop(*_own(partition_by)), partition_by).observe(seen, F.count(F.lit(1)).alias("n")).write
+    (w.partitionBy(*_physical(partition_by)) if partition_by else w).parquet(staged)
     _declare(spark, staged, df.schema, partition_by)
     recover(spark, path)
     fs, p = _fs(spark, path)
@@ -186,10 +230,11 @@ def truncate(spark: SparkSession, path: str) -> None:
 def _rewrite(spark: SparkSession, source: DataFrame, path: str, build) -> None:
     """Replace the table, or those of its partitions that ``source`` has rows for, by build(target, source)."""
     source, parts = _prepared(spark, source, path)
-    target = read_table(spark, path)
+    target = _stored(spark, path)
     if parts:
         target = merge.matching(target, source, parts, "left_semi")
-    new = materialize(build(target, source))
+    declared = [f.name for f in declaration(spark, path)[0].fields]
+    new = materialize(build(target.select(*declared), source.select(*declared)))
     if parts:
         overwrite(new, path, dynamic=True)
     else:
@@ -205,7 +250,7 @@ def _new_table(spark: SparkSession, source: DataFrame, path: str, partition_by:
 
 def _check_layout(spark: SparkSession, path: str, keys: Sequence[str], partition_by: Sequence[str]) -> None:
     parts = declaration(spark, path)[1] if table_exists(spark, path) else partition_by
-    if not set(parts) <= set(keys):
+    if not {p.split("/")[0] for p in parts} <= set(keys):
         raise ValueError("partition columns must be key columns")  # else a key could move between partitions
 
 
@@ -213,7 +258,8 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: Sequen
                  partition_by: Sequence[str] = ()) -> None:
     """Delete rows whose key is in ``source`` and insert ``source`` (exact keys, null equals null).
 
-    ``partition_by`` counts for a new table and must be part of ``keys``.
+    ``partition_by`` counts for a new table and must be part of ``keys`` (columns or ranges of them). With it
+    only the partitions that ``source`` has rows for are rewritten.
     """
     _check_layout(spark, path, keys, partition_by)
     if not _new_table(spark, source, path, partition_by):
