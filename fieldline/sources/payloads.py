@@ -61,8 +61,11 @@ def parse(df: DataFrame, text_col: str, schema: T.StructType, out: str = "doc")
     return df.withColumn(out, F.from_json(F.col(text_col), schema))
 
 
-def flatten_schedule(docs: DataFrame, doc: str = "doc", date_col: str | None = None) -> DataFrame:
-    """Schedule -> one row per finished game: scores default to 0, home win and run difference."""
+def flatten_schedule(docs: DataFrame, doc: str = "doc", date_col: str | None = None, keep_date: bool = False) -> DataFrame:
+    """Schedule -> one row per finished game: scores default to 0, home win and run difference.
+
+    ``date_col`` gives the game date in place of the document's; with ``keep_date`` it is only carried along.
+    """
     games = (docs.select(*([F.col(date_col)] if date_col else []),
                          F.explode(F.col(f"{doc}.dates")).alias("d"))
              .select(*([date_col] if date_col else []), F.col("d.date").alias("_date"),
@@ -72,12 +75,13 @@ def flatten_schedule(docs: DataFrame, doc: str = "doc", date_col: str | None = N
     vs = F.coalesce(F.col("g.teams.away.score"), F.lit(0))
     return final.select(
         F.col("g.gamePk").alias("game_pk"),
-        (F.col(date_col) if date_col else F.to_date("_date")).alias("game_date"),
+        (F.col(date_col) if date_col and not keep_date else F.to_date("_date")).alias("game_date"),
         F.col("g.teams.home.team.abbreviation").alias("team_h"),
         F.col("g.teams.away.team.abbreviation").alias("team_v"),
         hs.alias("runs_h"), vs.alias("runs_v"),
         (hs > vs).cast("int").alias("home_victory"),
         (hs - vs).alias("run_diff"),
+        *([F.col(date_col)] if keep_date else []),
     )
 
 

@@ -146,6 +146,21 @@ def max_loaded(df: DataFrame, date_col: str) -> DataFrame:
     return df.agg(F.max(date_col).alias("max_loaded"))
 
 
+def high_water_mark(spark: SparkSession, path: str, date_col: str) -> DataFrame:
+    """``max_loaded`` of a table. Where the table is partitioned by the column, folder names tell it and no file is opened."""
+    if not table_exists(spark, path):
+        raise ValueError(f"no table at {path}")
+    schema, parts = declaration(spark, path)
+    kind = schema[date_col].dataType
+    if parts[:1] != [date_col]:
+        return max_loaded(read_table(spark, path), date_col)
+    fs, p = _fs(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    values = [n.split("=", 1)[1] for n in names if n.startswith(f"{date_col}=") and not n.endswith("__HIVE_DEFAULT_PARTITION__")]
+    marks = spark.createDataFrame([(v,) for v in values], "v string")
+    return marks.agg(F.max(F.url_decode(F.col("v")).cast(kind)).alias("max_loaded"))
+
+
 def run_sql(spark: SparkSession, text: str) -> DataFrame:
     return spark.sql(text)
 
