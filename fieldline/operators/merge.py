@@ -80,14 +80,15 @@ def widen_schema(target: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], newest: Sequence[str],
-                 tiebreak: Sequence[str] = ()) -> DataFrame:
+                 tiebreak: Sequence[str] = (), settle_ties: bool = True) -> DataFrame:
     """Keep one row per key: the newest by ``newest`` (descending), then ``tiebreak`` ascending.
 
-    Rows that still tie are ordered by a hash of all their columns, so the same row stays in any run.
+    Rows that still tie are ordered by a hash of all their columns, so the same row stays in any run. A
+    caller whose order is total says so with ``settle_ties=False``; then no other column is read for it.
     ``row_number() = 1`` over the key lets Spark plan a partial per-key top-1 before the shuffle,
     so a key with very many copies is reduced map-side.
     """
-    last = F.xxhash64(*[F.to_json(F.struct(c)) if isinstance(df.schema[c].dataType, T.MapType) else F.col(c) for c in df.columns])
-    order = [F.col(c).desc_nulls_last() for c in newest] + [F.col(c).asc() for c in tiebreak] + [last]
+    last = [] if not settle_ties else [F.xxhash64(*[F.to_json(F.struct(c)) if isinstance(df.schema[c].dataType, T.MapType) else F.col(c) for c in df.columns])]
+    order = [F.col(c).desc_nulls_last() for c in newest] + [F.col(c).asc() for c in tiebreak] + last
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")

@@ -40,16 +40,23 @@ def odds_join(games: DataFrame, odds: DataFrame, first_season: int = K.ODDS_FIRS
               drop_missing: bool = True) -> DataFrame:
     """Look up both teams' implied probabilities, the total and its result.
 
+    The odds of one key (a day, or a part of a doubleheader) are one map from team to odds, which holds
+    at most every team once, so both sides are looked up by one join and the log is read once. ``odds`` must
+    hold one row per key and team, as ``prepare_odds_log`` makes it; a repeat is an error.
+
     Seasons before ``first_season`` are not looked up (probabilities 0, line 0, result '').
     Missing games give 0 / 0 / ''. With ``drop_missing``, games of looked-up seasons whose home
     probability is 0 are removed, as the source does.
     """
     key = list(key)
     lookup = F.col("season") >= F.lit(first_season)
-    h = odds.select(*key, F.col(team).alias(home_team), F.col("prob_implied").alias("_ph"),
-                    F.col("Total").alias("_total"), F.col("OU").alias("_ou"))
-    v = odds.select(*key, F.col(team).alias(visitor_team), F.col("prob_implied").alias("_pv"))
-    j = games.join(h, [*key, home_team], "left").join(v, [*key, visitor_team], "left")
+    quote = F.struct(F.col("prob_implied"), F.col("Total"), F.col("OU"))
+    by_day = odds.where(F.col(team).isNotNull()).groupBy(*key).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col(team), quote))).alias("_odds"))
+    j = games.join(by_day, key, "left").select(
+        *games.columns, F.col("_odds")[F.col(home_team)].alias("_h"), F.col("_odds")[F.col(visitor_team)].alias("_v"))
+    j = j.select(*games.columns, F.col("_h.prob_implied").alias("_ph"), F.col("_h.Total").alias("_total"),
+                 F.col("_h.OU").alias("_ou"), F.col("_v.prob_implied").alias("_pv"))
     ph = F.when(lookup, F.coalesce(F.col("_ph"), F.lit(0.0))).otherwise(F.lit(0.0))
     pv = F.when(lookup, F.coalesce(F.col("_pv"), F.lit(0.0))).otherwise(F.lit(0.0))
     out = j.select(

@@ -9,6 +9,7 @@ from fieldline.functions.scalar import key_text, roster_hash
 from fieldline.operators import incremental as I
 from fieldline.operators import merge as M
 from fieldline.operators import rollup
+from fieldline.functions.scalar import non_empty
 from fieldline.plans import sqlgen as S
 from fieldline.plans.q_features import _batter_features_sql, batter_games, pitcher_games
 from fieldline.plans.registry import register, with_pitches
@@ -133,7 +134,7 @@ SELECT game_pk, at_bat_number, pitch_number, pitcher, events, _loaded_at FROM (
   FROM pitches) WHERE rn = 1"""))
 def q_dedup_latest(spark, sf_dir):
     p = pitch_view(spark, sf_dir)
-    d = M.dedup_latest(p, ["game_pk", "at_bat_number", "pitch_number"], ["_loaded_at"], DEDUP_TIE)
+    d = M.dedup_latest(p, ["game_pk", "at_bat_number", "pitch_number"], ["_loaded_at"], DEDUP_TIE, settle_ties=False)
     return d.select("game_pk", "at_bat_number", "pitch_number", "pitcher", "events", "_loaded_at")
 
 
@@ -145,8 +146,10 @@ ORDER BY hr_per_pa_162 DESC NULLS LAST, mlbam_id, game_date LIMIT 20""")
 def q_recent_top(spark, sf_dir):
     from fieldline.operators.rolling import batter_rolling_features
 
-    f = batter_rolling_features(batter_games(spark, sf_dir))
-    day = I.as_of_date(f)
+    f = batter_rolling_features(batter_games(spark, sf_dir), windows=[162])
+    # The newest day with a batter's game, from the pitches: the features are planned once.
+    p = pitch_view(spark, sf_dir)
+    day = I.as_of_date(p.filter(non_empty(F.col("events")) & F.col("batter").isNotNull()))
     recent = f.filter(F.col("game_date") >= F.date_sub(day, 7))
     return (recent.orderBy(F.col("hr_per_pa_162").desc_nulls_last(), "mlbam_id", "game_date")
             .limit(20).select("mlbam_id", "game_date", "barrel_162", "ev_162", "hr_per_pa_162"))

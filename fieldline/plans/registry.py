@@ -39,6 +39,7 @@ def load_all() -> None:
     from fieldline.plans import (  # noqa: F401
         q_features,
         q_history,
+        q_jobs,
         q_maintenance,
         q_relational,
         q_sources,

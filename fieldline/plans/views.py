@@ -311,9 +311,8 @@ def odds_log_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     ou = F.when(F.col("home_score") + F.col("visiting_score") > total, "O").otherwise("U")
     common = [F.col("season"), F.col("date").alias("Date"), game.alias("Game"),
               total.alias("Total"), ou.alias("OU"), F.col("game_pk").alias("source_row")]
-    home = g.select(F.col("team_h").alias("team_source"), *common, line.alias("Line"))
-    away = g.select(F.col("team_v").alias("team_source"), *common, (-line).alias("Line"))
-    return home.unionByName(away)
+    side = lambda team, own: F.struct(F.col(team).alias("team_source"), *common, own.alias("Line"))
+    return g.select(F.inline(F.array(side("team_h", line), side("team_v", -line))))  # one pass over the games
 
 
 ODDS_LOG_SQL = """

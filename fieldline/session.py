@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,8 +45,9 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    The setting is read from the session. Only when it is unset (local tests) is ``fallback``
-    used; on a cluster the folder must be shared storage, never a machine-local temp dir.
+    The setting is read from the session. Only when it is unset is ``fallback`` used, or without one
+    a folder chosen here: a temporary one for a local master, else one in the warehouse, which is
+    shared; on a cluster it is never a machine-local temp dir.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,9 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     )
     target = configured or fallback
     if not target:
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; configure a shared folder for lineage cuts"
-        )
+        local = sc.master.startswith("local") and not sc.master.startswith("local-cluster")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        target = tempfile.mkdtemp(prefix="fl-ckpt-") if local else f"{warehouse}/_checkpoints"
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
 

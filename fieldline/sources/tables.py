@@ -189,11 +189,20 @@ def _prepared(spark: SparkSession, df: DataFrame, path: str) -> tuple[DataFrame,
     return _with_ranges(_aligned(df, schema), parts), _physical(parts)
 
 
+def _dealt(rows: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Rows dealt by partition before a partitioned write, so that a partition becomes few files.
+
+    The hint lets Spark split a partition that is too large for one task and join small ones.
+    """
+    return rows.hint("rebalance", *parts) if parts else rows
+
+
 def _create(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str]) -> int:
     """Write a table beside ``path`` and let it take the path's place. Returns the rows written."""
     staged, old = f"{path.rstrip('/')}._staged-{uuid.uuid4().hex}", f"{path.rstrip('/')}._former"
     seen = Observation()
-    w = _with_ranges(df.drop(*_own(partition_by)), partition_by).observe(seen, F.count(F.lit(1)).alias("n")).write
+    rows = _dealt(_with_ranges(df.drop(*_own(partition_by)), partition_by), _physical(partition_by))
+    w = rows.observe(seen, F.count(F.lit(1)).alias("n")).write
     (w.partitionBy(*_physical(partition_by)) if partition_by else w).parquet(staged)
     _declare(spark, staged, df.schema, partition_by)
     recover(spark, path)
@@ -218,7 +227,7 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
         return _create(spark, normalize_nulls(df), path, partition_by)
     rows, parts = _prepared(spark, df, path)
     seen = Observation()
-    w = rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append")
+    w = _dealt(rows, parts).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append")
     (w.partitionBy(*parts) if parts else w).parquet(path)
     return seen.get.get("n", 0)
 
@@ -232,7 +241,7 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = (), dynami
     rows, parts = _prepared(spark, df, path)
     if not parts:
         raise ValueError(f"{path} is not partitioned: single partitions can't be overwritten")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+    _dealt(rows, parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
 
 
 def truncate(spark: SparkSession, path: str) -> None:
