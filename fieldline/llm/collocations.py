@@ -43,12 +43,14 @@ MIN_COUNT, MAX_WORDS, TOP = 10, 3, 2000
 #: A phrase is dropped for a longer one that has this share (in a hundred) of its count.
 CONTAINED_PERCENT = 50
 SCALE = 1_000_000
+#: Parts that a language is ranked in first.
+SALTS = 8
 SLICE_BYTES = 2 << 20
 #: Hashes that a task holds before it merges and hands them on.
-HELD_HASHES = 1 << 19
+HELD_HASHES = 1 << 20
 BITMAP_BITS = 1 << 26
 #: Bytes of phrases in a trie, and in the tries that are broadcast at a time.
-SHARD_BYTES, ROUND_BYTES = 4 << 20, 16 << 20
+SHARD_BYTES, ROUND_BYTES = 12 << 20, 36 << 20
 
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 SPACE, PIECE = 32, 10
@@ -124,15 +126,14 @@ class HashCounts:
         self.parts, self.held = [], 0
 
     def add(self, h: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.parts.append(np.unique(h, return_counts=True))
-        self.held += len(self.parts[-1][0])
+        self.parts.append(h)
+        self.held += len(h)
         if self.held >= HELD_HASHES:
             yield from self.flush()
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.held:
-            key, which = np.unique(np.concatenate([h for h, _ in self.parts]), return_inverse=True)
-            n = np.bincount(which, np.concatenate([n for _, n in self.parts])).astype(np.int64)
+            key, n = np.unique(np.concatenate(self.parts), return_counts=True)
             yield _table({"h": pa.array(key.view(np.int64), pa.int64()), "n": pa.array(n, pa.int64())})
         self.__init__()
 
@@ -350,16 +351,44 @@ class Trie:
         self.base[owner[group[rows]]] = base[group[rows]]
         self.check[base[group[rows]] + byte[rows]] = owner[group[rows]]
 
-    def count(self, text: np.ndarray, start: np.ndarray, counts: np.ndarray) -> None:
-        """Add to ``counts`` how often each phrase begins at one of the words and ends at a word's end."""
-        at, state = start, np.zeros(len(start), np.int64)
+    def _advance(self, state: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The children reached by the bytes, and which of them exist."""
+        child = self.base[state] + byte.astype(np.int64)
+        return child, self.check[child] == state
+
+    def _after_first_words(self, words: Words) -> np.ndarray:
+        """The state after each distinct word and a space; -1 where no phrase goes on."""
+        one = np.empty(len(words.distinct), np.int64)
+        one[words.ids[::-1]] = np.arange(len(words.ids))[::-1]
+        at, end = words.start[one], words.end[one]
+        out, live, state = np.full(len(one), -1, np.int64), np.arange(len(one)), np.zeros(len(one), np.int64)
+        while len(live):
+            byte = np.where(at[live] == end[live], SPACE, words.text[at[live]])
+            child, goes = self._advance(state[live], byte)
+            over = at[live] == end[live]
+            out[live[goes & over]] = child[goes & over]
+            state[live] = child
+            at[live] += 1
+            live = live[goes & ~over]
+        return out
+
+    def count(self, words: Words, counts: np.ndarray) -> None:
+        """Add to ``counts`` how often each phrase (of two words or more) begins at one of the words and ends at a word's end.
+
+        All places advance together, a byte at a time; the first word is walked once per distinct word.
+        """
+        if not len(words.ids):
+            return
+        state = self._after_first_words(words)[words.ids]
+        begins = words.joined & (state >= 0)
+        state, at, text = state[begins], words.end[begins] + 1, words.text
         while len(at):
-            child = self.base[state] + text[at].astype(np.int64)
-            goes = self.check[child] == state
+            child, goes = self._advance(state, text[at])
             state, at = child[goes], at[goes] + 1
             phrase = self.accept[state]
             done = (phrase >= 0) & ((text[at] == SPACE) | (text[at] == PIECE))
-            counts += np.bincount(phrase[done], minlength=len(counts))
+            if done.any():
+                counts += np.bincount(phrase[done], minlength=len(counts))
 
 
 def build_tries(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -412,7 +441,7 @@ def count_phrases(texts: DataFrame, candidates: DataFrame) -> DataFrame:
                 by_lang[lang].append((shard, Trie.unpacked(trie), np.zeros(n, np.int64)))
             for lang, words in _slices(batches, most):
                 for _, trie, counts in by_lang.get(lang, ()):
-                    trie.count(words.text, words.start, counts)
+                    trie.count(words, counts)
             for lang, found in by_lang.items():
                 for shard, _, counts in found:
                     ids = np.flatnonzero(counts)
@@ -473,8 +502,13 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = M
     kept = best.join(inner, ["lang", "phrase"], "left").where(
         F.col("outer_n").isNull() | (F.col("outer_n") * 100 < F.col("b.a") * contained_percent))
 
-    order = Window.partitionBy("lang").orderBy(F.col("b.score").desc(), F.col("b.a").desc(), "phrase")
-    ranked = kept.select("lang", "phrase", "b", F.row_number().over(order).cast("long").alias("rank")).where(F.col("rank") <= top)
+    # Two levels, so that a language with most of the phrases is ranked in parts: at most SALTS * top rows meet in one task.
+    best_first = [F.col("b.score").desc(), F.col("b.a").desc(), F.col("phrase")]
+    salted = Window.partitionBy("lang", "salt").orderBy(*best_first)
+    parts = kept.select("lang", "phrase", "b", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).alias("salt"))
+    parts = parts.withColumn("place", F.row_number().over(salted)).where(F.col("place") <= top)
+    order = Window.partitionBy("lang").orderBy(*best_first)
+    ranked = parts.select("lang", "phrase", "b", F.row_number().over(order).cast("long").alias("rank")).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "b.a", "b.l", "b.r", "n", "b.score")
 
 
