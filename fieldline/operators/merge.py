@@ -32,9 +32,22 @@ def replace_slice(target: DataFrame, source: DataFrame, slice_cols: Sequence[str
     return upsert(target, source, slice_cols)
 
 
+def within_key_ranges(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose every key lies between the source's smallest and largest, or is null.
+
+    A pre-filter for key lookups: the bounds are scalar subqueries, which Spark pushes into the scan, so
+    row groups of other key ranges (other days, other games) are skipped. Only plain ordered types count.
+    """
+    for k in keys:
+        if isinstance(source.schema[k].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType)):
+            low, high = (source.agg(f(k)).scalar() for f in (F.min, F.max))
+            target = target.where(F.col(k).isNull() | ((F.col(k) >= low) & (F.col(k) <= high)))
+    return target
+
+
 def new_rows_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows with keys that the target lacks. Only the source's keys of the target are read on."""
-    stored = matching(target.select(*keys), source, keys, "left_semi")
+    stored = matching(within_key_ranges(target.select(*keys), source, keys), source, keys, "left_semi")
     return matching(source, stored, keys, "left_anti")
 
 

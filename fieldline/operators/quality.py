@@ -91,14 +91,7 @@ def validate_pitches(df: DataFrame, required: Sequence[str] = REQUIRED_PITCH_COL
     Empty input and missing key columns fail, each named in the message. Launch angles outside +-90 are only reported.
     Rows with a missing or implausible release speed are dropped and counted.
     """
-    problems = []
     missing = [c for c in required if c not in df.columns]
-    if missing:
-        problems.append(f"Missing required columns: {', '.join(missing)}")
-    if df.isEmpty():
-        problems.append("No rows in DataFrame")
-    if problems:
-        raise ValueError("Data quality checks failed:\n  - " + "\n  - ".join(problems))
     has_angle = "LAUNCH_ANGLE" in df.columns
     has_speed = "RELEASE_SPEED" in df.columns
     report = df.agg(
@@ -107,7 +100,12 @@ def validate_pitches(df: DataFrame, required: Sequence[str] = REQUIRED_PITCH_COL
          if has_angle else F.lit(0)).alias("bad_angle"),
         (F.count_if(_bad_speed(F.col("RELEASE_SPEED"), min_speed, max_speed)) if has_speed
          else F.lit(0)).alias("bad_speed"),
-    ).first()
+    ).first()  # one pass tells emptiness and both counts
+    problems = [f"Missing required columns: {', '.join(missing)}"] if missing else []
+    if not report["n"]:
+        problems.append("No rows in DataFrame")
+    if problems:
+        raise ValueError("These pitches can't be used: " + "; ".join(problems))
     if report["bad_angle"]:
         log.warning("Unusual launch angles detected (>90 or <-90) — review source data.")
     kept = df
@@ -116,7 +114,7 @@ def validate_pitches(df: DataFrame, required: Sequence[str] = REQUIRED_PITCH_COL
         if report["bad_speed"]:
             log.warning(
                 f"Dropped {report['bad_speed']} rows with missing or implausible release speed.")
-    log.info(f"All data quality checks passed. ({report['n']:,} rows)")
+    log.info(f"Checked {report['n']:,} pitch rows.")
     return kept
 
 
@@ -145,3 +143,41 @@ def clean_team_log(df: DataFrame, rename: Mapping[str, str], drop: Sequence[str]
     if season_col.upper() not in df.columns:
         df = df.withColumn(season_col.upper(), F.year(dc))
     return df
+
+
+# The columns of a team's game log page, by header group; a flat landed column is named
+# "group_name", or by the name alone outside of the groups.
+_STARTER = {"Player": "OppStart", "T": "OppStartThrows"}
+_STATS = {
+    "batting": ["PA", "AB", "R", "H", "2B", "3B", "HR", "RBI", "BB", "IBB", "SO", "HBP", "SB", "CS", "LOB", "BA", "OBP", "SLG", "OPS",
+                "TB", "GIDP", "SH", "SF", "ROE", "BAbip"],
+    "pitching": ["IP", "H", "R", "ER", "HR", "BB", "IBB", "SO", "HBP", "BK", "WP", "BF", "ERA", "FIP", "GB", "FB", "LD", "PU", "IR", "IS",
+                 "SB", "CS", "PO", "AB", "2B", "3B", "GIDP", "SF", "ROE", "BAbip"],
+}
+_RENAMED = {"2B": "X2B", "3B": "X3B", "BAbip": "BABIP", "IS": "Inh_Score"}
+_TEXT_COLUMNS = ["Team", "Season", "Date", "Opp", *_STARTER.values()]
+
+
+def team_log_columns(kind: str) -> dict[str, str]:
+    """Landed flat column -> stored column of a "batting" or "pitching" team log."""
+    if kind not in _STATS:
+        raise ValueError(f"unknown team log {kind!r}; use 'batting' or 'pitching'")
+    stats = {f"{kind.title()} Stats_{c}": _RENAMED.get(c, c) for c in _STATS[kind]}
+    score = ["Inn"] if kind == "batting" else ["Inn", "RS", "RA"]
+    own = {f"Opp Starter_{c}": name for c, name in _STARTER.items()} if kind == "batting" else {"Opp": "Opp"}
+    return {c: c for c in ("Team", "Season", "Date")} | own | {f"Score_{c}": c for c in score} | stats
+
+
+def team_log(df: DataFrame, kind: str, date_format: str = "yyyy-MM-dd") -> DataFrame:
+    """A landed team log under its stored names: known columns only, lenient numbers, no header or total rows.
+
+    Columns that the page lacks stay absent. The date keeps no doubleheader suffix such as " (1)". The season
+    comes from the page, else from the date.
+    """
+    known = {s: t for s, t in team_log_columns(kind).items() if s in df.columns}
+    numeric = [t for t in known.values() if t not in _TEXT_COLUMNS]
+    named = df.select(*[F.col(f"`{s}`").alias(t) for s, t in known.items()])
+    rows = drop_all_null(lenient_numeric_columns(named, numeric), numeric) if numeric else named
+    day = lenient_date(F.regexp_replace("Date", r"\s*\(\d\)\s*$", ""), date_format)
+    season = F.coalesce(F.col("Season").try_cast("int"), F.year("Date")) if "Season" in known.values() else F.year("Date")
+    return rows.withColumn("Date", day).dropna(subset=["Date"]).withColumn("Season", season)

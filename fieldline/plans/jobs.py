@@ -15,7 +15,7 @@ from fieldline.functions import constants as K
 from fieldline.functions.scalar import key_text
 from fieldline.operators import incremental as I
 from fieldline.operators import merge as M
-from fieldline.operators import odds, rollup, rolling, tails, team
+from fieldline.operators import odds, quality, rollup, rolling, tails, team
 from fieldline.session import materialize
 from fieldline.sources import tables as TB
 
@@ -252,6 +252,11 @@ def season_logs(spark: SparkSession, logs: DataFrame, table: str, source: str,
     return rows.groupBy(season_col).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def team_logs(spark: SparkSession, landed: DataFrame, kind: str, table: str, source: str, loaded_at: dt.datetime) -> DataFrame:
+    """I10: a landed "batting" or "pitching" team log, cleaned and stored by season; returns the run summary."""
+    return season_logs(spark, quality.team_log(landed, kind), table, source, loaded_at, "Season")
+
+
 def season_games(games: DataFrame, odds_log: DataFrame, first_odds_season: int = K.ODDS_FIRST_LOOKUP_SEASON,
                  rows_per_segment: int | None = None) -> DataFrame:
     """Game rows (``gamelogs.season_rows``) -> outcome, game key, both teams' pre-game features, odds."""

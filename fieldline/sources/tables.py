@@ -326,8 +326,8 @@ def merge_insert_only_table(spark: SparkSession, source: DataFrame, path: str,
     """Append only source rows with new keys; re-running adds nothing. Returns rows added."""
     if not table_exists(spark, path):
         return append(source, path)
-    new = materialize(merge.new_rows_only(read_table(spark, path), source, keys))
-    return append(new, path)
+    source = materialize(source)  # read three times: for its key ranges and on both sides of the lookup
+    return append(materialize(merge.new_rows_only(read_table(spark, path), source, keys)), path)
 
 
 def merge_update_insert_table(spark: SparkSession, source: DataFrame, path: str,
@@ -343,3 +343,26 @@ def merge_update_insert_table(spark: SparkSession, source: DataFrame, path: str,
 def widen_table(spark: SparkSession, source: DataFrame, path: str) -> None:
     """Append with new columns declared for the table (old rows read them as NULL; no file is rewritten)."""
     append(source, path)
+
+
+def co_located(spark: SparkSession, df: DataFrame, name: str, path: str, keys: Sequence[str], order: Sequence[str],
+               buckets: int) -> DataFrame:
+    """Write ``df`` bucketed by ``keys`` and sorted by ``keys`` and ``order``; returns the table.
+
+    Windows, aggregations and joins on ``keys`` then need no shuffle: a game table bucketed by player
+    feeds the rolling features where it lies. Rows are dealt into the buckets before the write, so each
+    is one file. One key's rows are one bucket: a table with hot keys is better read with
+    ``rows_per_segment``, which splits them.
+    """
+    rows = normalize_nulls(df).repartition(buckets, *keys)
+    (rows.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys, *order).option("path", path).saveAsTable(name))
+    return spark.table(name)
+
+
+def attach_co_located(spark: SparkSession, schema: T.StructType, name: str, path: str, keys: Sequence[str], order: Sequence[str],
+                      buckets: int) -> DataFrame:
+    """A table that ``co_located`` wrote in another session, under the same layout."""
+    columns = lambda cs: ", ".join(f"`{c}`" for c in cs)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING parquet CLUSTERED BY ({columns(keys)}) "
+              f"SORTED BY ({columns([*keys, *order])}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
