@@ -20,13 +20,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldline.operators.segments import running_totals
+
 ROLES = ("system", "user", "assistant", "tool")
 N_STATES = 2 * len(ROLES)  # 2 r: a turn of role r begins, 2 r + 1: it goes on
 #: Sizes of the emitted features: marker (none or a role), blank before, question, length class.
 FEATURES = (1 + len(ROLES), 2, 2, 4)
-CHUNK = 1 << 26
-#: Line numbers of one turn of a labelled conversation.
-TURN_LINES = 1 << 20
+CHUNK = 1 << 16
+#: Turns of one conversation that a task numbers at most, about.
+NUMBERED_ROWS = 100_000
 _NAMES = {
     "system": "system|instructions?", "user": "user|human|customer|question|prompter|me|q",
     "assistant": "assistant|ai|bot|model|answer|agent|a", "tool": "tool|function|observation",
@@ -112,9 +114,11 @@ def transcript_lines(conversations: DataFrame) -> DataFrame:
     """Raw transcripts of a labelled table (conv_id, turn, role, text): conv_id, line_no, line, state.
 
     A conversation writes its markers in one style (by its id); one turn in eight has no marker, only
-    the blank line that ends every turn. ``state`` is the label to learn from. Unknown roles count as
-    user; null texts are empty; rows without conv_id or turn form transcripts of their own content.
-    Turns beyond ``TURN_LINES`` lines would overlap the next turn's numbers.
+    the blank line that ends every turn. ``state`` is the label to learn from. Lines are numbered from 0
+    through the conversation in the order of turn (nulls last), role and text; rows that repeat a turn
+    follow one another in that order, equal ones too. Unknown roles count as user; null texts are empty;
+    rows without conv_id form transcripts of their own content. A conversation with very many rows is
+    numbered in segments, by several tasks.
     """
     conv = F.coalesce(F.col("conv_id").cast("long"), F.lit(1 << 62) + F.xxhash64("role", "text").bitwiseAND(F.lit((1 << 62) - 1)))
     role = F.lower(F.trim(F.coalesce("role", F.lit("user"))))
@@ -124,9 +128,13 @@ def transcript_lines(conversations: DataFrame) -> DataFrame:
     mark = F.coalesce(*[F.when((style == i) & (number == r), s[order.index(r)]) for i, s in enumerate(_STYLES) for r in range(len(ROLES))])
     bare = F.pmod(F.xxhash64(conv, F.col("turn"), F.lit(2)), F.lit(8)) == 0
     text = F.concat(F.when(bare, F.lit("")).otherwise(mark), F.coalesce("text", F.lit("")), F.lit("\n"))
-    turns = conversations.select(conv.alias("conv_id"), F.coalesce(F.col("turn").cast("long"), F.lit(0)).alias("turn"), number.alias("r"), text.alias("t"))
-    lines = turns.select("conv_id", "turn", "r", F.posexplode(F.split("t", "\n")).alias("i", "line"))
-    return lines.select("conv_id", (F.col("turn") * TURN_LINES + F.col("i")).alias("line_no"), "line",
+    turns = conversations.select(conv.alias("conv_id"), F.col("turn").isNull().alias("late"), F.col("turn").cast("long").alias("turn"),
+                                 number.alias("r"), F.split(text, "\n").alias("own"))
+    turns = turns.withColumn("n", F.size("own")).withColumn("h", F.xxhash64("own"))
+    keys = ["late", "turn", "r", "h", "own"]
+    placed = running_totals(turns, ["n"], "conv_id", keys, NUMBERED_ROWS, F.struct("late", "turn", "r", "h"), "upto")
+    lines = placed.select("conv_id", (F.col("upto") - F.col("n")).alias("begin"), "r", F.posexplode("own").alias("i", "line"))
+    return lines.select("conv_id", (F.col("begin") + F.col("i")).alias("line_no"), "line",
                         (2 * F.col("r") + (F.col("i") > 0).cast("int")).alias("state"))
 
 
@@ -135,17 +143,23 @@ def _by_chunk(function, columns: str):
     names = [c.split()[0] for c in columns.split(", ")]
 
     def run(batches):
-        held = None
+        held, at = [], None  # pieces of the group that is still open, and its key
         for pdf in batches:
-            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            if not len(pdf):
+                continue
             key = pdf[["conv_id", "chunk"]].to_numpy()
             cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-            low = cuts[-1] if len(cuts) else 0
-            held = pdf.iloc[low:]
-            if low:
-                yield _each(pdf.iloc[:low], cuts[:-1])
-        if held is not None and len(held):
-            yield _each(held, [])
+            if held and at != tuple(key[0]):
+                yield _each(pd.concat(held, ignore_index=True), [])
+                held = []
+            if len(cuts):
+                whole = pd.concat([*held, pdf.iloc[: cuts[-1]]], ignore_index=True)
+                yield _each(whole, cuts[:-1] + sum(map(len, held)))
+                held = []
+            held.append(pdf.iloc[cuts[-1]:] if len(cuts) else pdf)
+            at = tuple(key[-1])
+        if held:
+            yield _each(pd.concat(held, ignore_index=True), [])
 
     def _each(pdf, cuts):
         bounds = [0, *cuts, len(pdf)]
@@ -159,17 +173,27 @@ def _by_chunk(function, columns: str):
 
 
 def _chunked(lines: DataFrame, chunk: int) -> DataFrame:
-    """Lines with their chunk and whether a blank line ends the one before (taken within the chunk)."""
     return lines.withColumn("chunk", F.floor(F.col("line_no") / F.lit(chunk)).cast("long"))
 
 
-def _sorted(chunked: DataFrame) -> DataFrame:
-    return chunked.repartition("conv_id", "chunk").sortWithinPartitions("conv_id", "chunk", "line_no", "line")
+def _edges(chunked: DataFrame, *carried: str) -> DataFrame:
+    """Per (conv_id, chunk): whether it is the first, whether a blank line stands before it, and ``carried`` of the line before."""
+    last = F.struct("line_no", "line")
+    ends = chunked.groupBy("conv_id", "chunk").agg(
+        F.max_by(F.trim("line") == "", last).alias("blank"), *[F.max_by(c, F.struct("line_no", "line", c)).alias(c) for c in carried])
+    order = Window.partitionBy("conv_id").orderBy("chunk")
+    return ends.select("conv_id", "chunk", F.lag("chunk").over(order).isNull().alias("first"),
+                       F.coalesce(F.lag("blank").over(order), F.lit(False)).alias("blank"),
+                       *[F.lag(c).over(order).alias(f"before_{c}") for c in carried])
+
+
+def _sorted(chunked: DataFrame, *last: str) -> DataFrame:
+    return chunked.repartition("conv_id", "chunk").sortWithinPartitions("conv_id", "chunk", "line_no", "line", *last)
 
 
 def _count(g):
-    x, s = encode(list(g["line"])), g["state"]
-    rows = [("start", 0, s[0])] if g["chunk"][0] == g["lowest"][0] else []
+    x, s = encode(list(g["line"]), bool(g["blank"][0])), g["state"]
+    rows = [("start", 0, s[0]) if g["first"][0] else ("step", int(g["before_state"][0]), s[0])]
     rows += [("step", a, b) for a, b in zip(s, s[1:])]
     rows += [(str(k), a, v) for k in range(len(FEATURES)) for a, v in zip(s, x[:, k])]
     found, n = np.unique(np.array(rows, object).astype(str), axis=0, return_counts=True)
@@ -178,9 +202,10 @@ def _count(g):
 
 def fit_roles(lines: DataFrame, chunk: int = CHUNK) -> RoleModel:
     """Count the model over all ``lines`` (conv_id, line_no, line, state); without lines it is even."""
-    first = lines.groupBy("conv_id").agg(F.min(F.floor(F.col("line_no") / F.lit(chunk))).cast("long").alias("lowest"))
+    chunked = _chunked(lines.withColumn("line", F.coalesce("line", F.lit(""))), chunk)
     columns = "kind string, a int, b int, n long"
-    counts = _sorted(_chunked(lines, chunk).join(first, "conv_id")).mapInPandas(_by_chunk(_count, columns), columns)
+    marked = chunked.join(_edges(chunked, "state"), ["conv_id", "chunk"])
+    counts = _sorted(marked, "state").mapInPandas(_by_chunk(_count, columns), columns)
     rows = counts.groupBy("kind", "a", "b").agg(F.sum("n").alias("n")).collect()  # at most states x (states + feature values)
     return role_model({(r.kind, r.a, r.b): r.n for r in rows})
 
@@ -204,7 +229,7 @@ def _chain(model: RoleModel):
 def _decode(model: RoleModel):
     def run(g):
         lines = list(g["line"])
-        path = model.viterbi(encode(lines), int(g["enter"][0]), int(g["leave"][0]))
+        path = model.viterbi(encode(lines, bool(g["blank"][0])), int(g["enter"][0]), int(g["leave"][0]))
         at, out = None, []
         for no, line, s in zip(g["line_no"], lines, path.tolist()):
             if s % 2 == 0:
@@ -220,16 +245,18 @@ def decode_lines(lines: DataFrame, model: RoleModel, chunk: int = CHUNK) -> Data
     """Lines without markers, with role number and the line on which their turn starts (turn_line)."""
     chunked = _chunked(lines.select("conv_id", "line_no", F.coalesce("line", F.lit("")).alias("line")), chunk)
     span = chunked.groupBy("conv_id").agg(F.min("chunk").alias("lowest"), F.max("chunk").alias("highest"))
-    long = span.where("lowest < highest").select("conv_id", "lowest")
+    several = span.where("lowest < highest").select("conv_id")
+    edges = _edges(chunked.join(several, "conv_id", "left_semi"))
 
     def scores(g):
-        m = model.chain(encode(list(g["line"])), g["chunk"][0] == g["lowest"][0])
+        m = model.chain(encode(list(g["line"]), bool(g["blank"][0])), bool(g["first"][0]))
         return [(g["conv_id"][0], g["chunk"][0], m.ravel().tolist())]
 
     columns = "conv_id long, chunk long, scores array<double>"
-    matrices = _sorted(chunked.join(long, "conv_id")).mapInPandas(_by_chunk(scores, columns), columns)
+    matrices = _sorted(chunked.join(edges, ["conv_id", "chunk"])).mapInPandas(_by_chunk(scores, columns), columns)
     cuts = matrices.groupBy("conv_id").applyInPandas(_chain(model), "conv_id long, chunk long, enter int, leave int")
-    known = chunked.join(cuts, ["conv_id", "chunk"], "left").fillna(-1, ["enter", "leave"])
+    known = chunked.join(cuts.join(edges.drop("first"), ["conv_id", "chunk"]), ["conv_id", "chunk"], "left")
+    known = known.fillna(-1, ["enter", "leave"]).fillna(False, ["blank"])
     columns = "conv_id long, chunk long, line_no long, line string, role int, turn_line long"
     decoded = _sorted(known).mapInPandas(_by_chunk(_decode(model), columns), columns)
     # A chunk may open inside a turn: its start is the last one in an earlier chunk.
