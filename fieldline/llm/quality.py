@@ -6,7 +6,7 @@ Each passage is encoded into counts and ratios, a small network embeds it, gated
 Only document labels are used: which passages matter is learned.
 
 The model is fitted on the driver from a bounded sample: at most ``max_docs`` labelled documents (those
-of the smallest hashed ids) and at most ``max_passages`` evenly spaced passages of each. Scoring
+of the smallest hashed ids), with all of their passages. Scoring
 reads every passage of every document where it lies, without a shuffle.
 """
 
@@ -23,7 +23,6 @@ from pyspark.sql import types as T
 
 PASSAGE_WORDS = 100
 MAX_DOCS = 4000
-MAX_PASSAGES = 32
 THRESHOLD = 0.3
 HELD_OUT = "crc32(cast(doc_id as string)) % 5 = 0"
 
@@ -156,23 +155,15 @@ def fit_attention(bags: list[np.ndarray], y: np.ndarray, hidden: int = 24, gate:
     return AttentionModel(float(y.mean()), mean, scale, {k: p.astype(np.float64) for k, p in w.items()})
 
 
-def _encoded_batches(max_passages: int):
-    def run(batches):
-        for batch in batches:
-            out = []
-            for text in batch.column("text").to_pylist():
-                x = encode(text)
-                if len(x) > max_passages:
-                    x = x[np.linspace(0, len(x) - 1, max_passages).round().astype(int)]
-                out.append(x.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), pa.array(out, pa.binary())], ["doc_id", "label", "x"]
-            )
-
-    return run
+def _encoded_batches(batches):
+    for batch in batches:
+        out = [encode(text).tobytes() for text in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("label"), pa.array(out, pa.binary())], ["doc_id", "label", "x"]
+        )
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_passages: int = MAX_PASSAGES) -> AttentionModel:
+def fit_quality(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> AttentionModel:
     """Fit on documents with a ``quality`` label that are not held out.
 
     Rows without id or label are passed over; a doc_id with several labels counts with its smallest.
@@ -184,7 +175,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, ma
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")
-    rows = found.mapInArrow(_encoded_batches(max_passages), "doc_id long, label int, x binary").collect()
+    rows = found.mapInArrow(_encoded_batches, "doc_id long, label int, x binary").collect()
     rows = sorted({(r.doc_id, r.label, bytes(r.x)) for r in rows})  # repeated rows count once
     bags = [np.frombuffer(x, np.float32).reshape(-1, N_FEATURES) for _, _, x in rows]
     return fit_attention(bags, np.array([label for _, label, _ in rows]))

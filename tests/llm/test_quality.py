@@ -63,6 +63,71 @@ def test_attention_finds_the_bad_passage():
     assert np.mean((score >= 0.5) == np.array(y[300:])) > 0.95
 
 
+def plain_score(model, text):
+    """One document's score, passage by passage and gate by gate, with the encoding counted character by character."""
+    words = (text or "").split()
+    groups = [words[i:i + 100] for i in range(0, len(words), 100)] or [[]]
+    cut, rest = [], text or ""  # a passage's characters: from its first word to the next passage's first word
+    for g in groups:
+        at = 0
+        for w in g:
+            at = rest.index(w, at) + len(w)
+        end = at + len(rest[at:]) - len(rest[at:].lstrip())
+        cut.append(rest[:end])
+        rest = rest[end:]
+    embedded, gates = [], []
+    for chars, g in zip(cut, groups):
+        x = np.zeros(Q.N_FEATURES)
+        if g:
+            for c in chars:
+                x[Q._class_of(c)] += 1 / len(chars)
+            n, size = len(g), [len(w) for w in g]
+            kinds = [(Q._class_of(w[0]), Q._class_of(w[-1])) for w in g]
+            x[Q._N:] = [np.mean(size), np.std(size), sum(z <= 3 for z in size) / n, sum(a == 3 for a, _ in kinds) / n, sum(b == 6 for _, b in kinds) / n,
+                        sum(b == 8 for _, b in kinds) / n, sum(b in (12, 13) for _, b in kinds) / n, len(set(g)) / n,
+                        sum(a == b for a, b in zip(g, g[1:])) / n, len(set(zip(g, g[1:]))) / max(1, n - 1), np.log1p(n)]
+        w = model.weights
+        x = np.clip((x - model.mean) / model.scale, -8, 8)
+        h = [max(0.0, sum(x[i] * w["W"][i, j] for i in range(len(x))) + w["b"][j]) for j in range(len(w["b"]))]
+        gate = 0.0
+        for k in range(len(w["w"])):
+            v, u = sum(a * b for a, b in zip(h, w["V"][:, k])), sum(a * b for a, b in zip(h, w["U"][:, k]))
+            gate += w["w"][k] * np.tanh(v) / (1 + np.exp(-u))
+        embedded.append(h)
+        gates.append(gate)
+    weights = np.exp(np.array(gates) - max(gates))
+    bag = sum(a * np.array(h) for a, h in zip(weights / weights.sum(), embedded))
+    return 1 / (1 + np.exp(-(sum(bag * model.weights["c"]) + model.weights["d"][0])))
+
+
+def test_scores_equal_a_plain_loop(spark):
+    docs, labels = read_table(spark, SF, "documents"), read_table(spark, SF, "labels")
+    model = Q.fit_quality(docs, labels)
+    rows = docs.select("doc_id", "text").orderBy("doc_id").limit(120).collect()
+    texts = [r.text for r in rows] + ["", None, " \n ", "One.", "漢字 " * 500, "\n lead and trail \n" * 90]
+    out = Q.score_quality(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), model)
+    got = {r.doc_id: r.score for r in out.collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == pytest.approx(plain_score(model, t), abs=1e-4), i
+
+
+def test_the_fit_sees_every_passage_of_a_labelled_document(spark):
+    """Long documents differ in one passage far inside; a sample of their passages would often miss it."""
+    rng = random.Random(3)
+    good = "The quiet river ran past the old mill and nobody spoke of it again. "
+    rows = []
+    for i in range(60):
+        parts = [good * 7 for _ in range(rng.randint(60, 90))]
+        if i % 2 == 0:
+            parts[rng.randrange(5, len(parts))] = "BUY!! NOW!! $$$ " * 33
+        rows.append((i, "".join(parts)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    model = Q.fit_quality(docs, labels)
+    scores = {r.doc_id: r.score for r in Q.score_quality(docs, model).collect()}
+    assert all((scores[i] >= 0.5) == (i % 2 == 1) for i in range(60))
+
+
 def test_held_out_accuracy(spark):
     docs, labels = read_table(spark, SF, "documents"), read_table(spark, SF, "labels")
     model = Q.fit_quality(docs, labels)
