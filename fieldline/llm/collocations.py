@@ -8,12 +8,13 @@ Method, level-wise as in Apriori (a phrase can only be frequent if its sub-phras
    the phrases of k + 1 words that they make. Hashes that reach the threshold form the next bitmap,
    and a second pass writes down the distinct phrases whose hash is set. Collisions of hashes or
    bits only ever add candidates, so the candidates are safe: every frequent phrase is one.
-3. The candidates are split into shards by language and hash, and each shard becomes a double-array
+3. The candidates are split into shards by language and first word, and each shard becomes a double-array
    trie over UTF-8 bytes (built in a task). The tries are broadcast in rounds of at most
    ROUND_BYTES of phrases, whatever the number of candidates.
 4. In each round numpy starts one state at every word of a slice of text and advances all of them
    byte by byte, level by level; states without a transition drop out, states that accept at a
-   word's end are added up with ``bincount``. The shards' counts are summed by Spark.
+   word's end are added up with ``bincount``. A task hands on its count vectors in compressed blocks,
+   and those of all text shards are summed block by block.
 5. Scores, containment and ranks are joins and windows over the counted phrases.
 
 What reaches the driver: bitmaps (fixed size), the tries of one round, and one row per trie. Scores
@@ -45,12 +46,15 @@ CONTAINED_PERCENT = 50
 SCALE = 1_000_000
 #: Parts that a language is ranked in first.
 SALTS = 8
-SLICE_BYTES = 2 << 20
-#: Hashes that a task holds before it merges and hands them on.
-HELD_HASHES = 1 << 20
+SLICE_BYTES = 1 << 20
+#: Entries (words, hashes, phrases) that a task holds before it merges or forgets them.
+HELD = 1 << 19
+HASH_BITS = 44
+#: Counts that travel together.
+BLOCK = 1 << 16
 BITMAP_BITS = 1 << 26
 #: Bytes of phrases in a trie, and in the tries that are broadcast at a time.
-SHARD_BYTES, ROUND_BYTES = 12 << 20, 36 << 20
+SHARD_BYTES, ROUND_BYTES = 3 << 20, 36 << 20
 
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 SPACE, PIECE = 32, 10
@@ -128,12 +132,12 @@ class HashCounts:
     def add(self, h: np.ndarray) -> Iterator[pa.RecordBatch]:
         self.parts.append(h)
         self.held += len(h)
-        if self.held >= HELD_HASHES:
+        if self.held >= 2 * HELD:
             yield from self.flush()
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.held:
-            key, n = np.unique(np.concatenate(self.parts), return_counts=True)
+            key, n = np.unique(np.concatenate(self.parts) & np.uint64((1 << HASH_BITS) - 1), return_counts=True)
             yield _table({"h": pa.array(key.view(np.int64), pa.int64()), "n": pa.array(n, pa.int64())})
         self.__init__()
 
@@ -158,6 +162,7 @@ def _slices(batches, most: int) -> Iterator[tuple[str, Words]]:
                 size[lang] = 0
         for lang, texts in held.items():
             yield lang, Words(texts)
+        pa.default_memory_pool().release_unused()
 
 
 def _table(columns: dict[str, pa.Array]) -> pa.RecordBatch:
@@ -169,12 +174,25 @@ def word_counts(texts: DataFrame, min_count: int) -> DataFrame:
     most = SLICE_BYTES
 
     def run(batches):
+        held, size = [], 0
         for lang, words in _slices(batches, most):
             n = np.bincount(words.ids, minlength=len(words.distinct))
-            if len(n):
-                yield _table({"lang": pa.array([lang] * (len(n) + 1), pa.string()),
-                              "word": pa.concat_arrays([words.distinct.cast(pa.large_string()).cast(pa.string()), pa.nulls(1, pa.string())]),
-                              "n": pa.array(np.append(n, n.sum()), pa.int64())})
+            if not len(n):
+                continue
+            word = pa.concat_arrays([words.distinct.cast(pa.large_string()).cast(pa.string()), pa.nulls(1, pa.string())])
+            held.append(_table({"lang": pa.array([lang] * len(word), pa.string()), "word": word, "n": pa.array(np.append(n, n.sum()), pa.int64())}))
+            size += len(word)
+            if size >= HELD:
+                held = [merged(held)]
+                if len(held[0]) * 2 > HELD:  # mostly different words: nothing more to merge
+                    yield held.pop()
+                size = sum(map(len, held))
+        if held:
+            yield merged(held)
+
+    def merged(parts):
+        both = pa.Table.from_batches(parts).group_by(["lang", "word"]).aggregate([("n", "sum")]).combine_chunks()
+        return _table({"lang": both["lang"].combine_chunks(), "word": both["word"].combine_chunks(), "n": both["n_sum"].combine_chunks()})
 
     counted = texts.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     return checkpoint(counted.where(F.col("word").isNull() | (F.col("n") >= min_count)))
@@ -234,11 +252,16 @@ def candidate_phrases(texts: DataFrame, k: int, bits: np.ndarray) -> DataFrame:
     shared, most = texts.sparkSession.sparkContext.broadcast(bits), SLICE_BYTES
 
     def run(batches):
+        seen = defaultdict(set)
         for lang, words in _slices(batches, most):
             keys = phrase_hashes(word_hashes(lang, words.distinct.to_pylist())[words.ids], k)
             hit = np.flatnonzero(_hits(words, keys[k - 1], k, shared.value))
-            found = words.phrases(words.distinct_at(hit, k), k)
-            yield _table({"lang": pa.array([lang] * len(found), pa.string()), "phrase": pa.array(found, pa.binary()).cast(pa.string())})
+            own = seen[lang]
+            new = [p for p in words.phrases(words.distinct_at(hit, k), k) if p not in own]
+            own.update(new)
+            if sum(map(len, seen.values())) >= HELD:
+                seen.clear()  # some are handed on again, which distinct() settles
+            yield _table({"lang": pa.array([lang] * len(new), pa.string()), "phrase": pa.array(new, pa.binary()).cast(pa.string())})
 
     return checkpoint(texts.mapInArrow(run, "lang string, phrase string").distinct())
 
@@ -393,10 +416,13 @@ class Trie:
 
 def build_tries(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Candidates (lang, phrase) -> numbered phrases (lang, shard, id, phrase) and tries (lang, shard, n, n_bytes, trie)."""
-    size = F.octet_length("phrase")
-    shards = candidates.groupBy("lang").agg(F.ceil(F.sum(size) / F.lit(SHARD_BYTES)).cast("int").alias("shards"))
-    dealt = candidates.join(shards, "lang").select(
-        "lang", F.pmod(F.xxhash64("phrase"), F.col("shards")).cast("int").alias("shard"), "phrase")
+    sized = candidates.withColumn("first", F.substring_index("phrase", " ", 1)).withColumn("size", F.octet_length("phrase"))
+    firsts = sized.groupBy("lang", "first").agg(F.sum("size").alias("bytes"))
+    langs = firsts.groupBy("lang").agg(F.ceil(F.sum("bytes") / F.lit(SHARD_BYTES)).cast("int").alias("shards"))
+    # All phrases of a first word are in one shard, but for words with more phrases than a shard holds.
+    spread = F.ceil(F.col("bytes") / F.lit(SHARD_BYTES)).cast("int")
+    place = F.pmod(F.xxhash64("first") + F.pmod(F.xxhash64("phrase"), spread), F.col("shards"))
+    dealt = sized.join(firsts, ["lang", "first"]).join(langs, "lang").select("lang", place.cast("int").alias("shard"), "phrase")
     order = Window.partitionBy("lang", "shard").orderBy("phrase")
     numbered = checkpoint(dealt.withColumn("id", (F.row_number().over(order) - 1).cast("int")))
 
@@ -424,6 +450,27 @@ def _rounds(sizes: list) -> list[list]:
     return [r for r in out if r]
 
 
+def _sum_blocks(batches):
+    """Sum the count vectors of equal (lang, shard, block), which come one after the other; one vector is held."""
+    def rows(key, total):
+        ids = np.flatnonzero(total)
+        return _table({"lang": pa.array([key[0]] * len(ids), pa.string()), "shard": pa.array(np.full(len(ids), key[1], np.int32)),
+                       "id": pa.array((ids + key[2]).astype(np.int32)), "n": pa.array(total[ids], pa.int64())})
+
+    key = total = None
+    for batch in batches:
+        for *at, data in zip(*(batch.column(c).to_pylist() for c in ("lang", "shard", "block", "counts"))):
+            counts = np.frombuffer(zlib.decompress(data), np.int64)
+            if at == key:
+                total = total + counts
+                continue
+            if key is not None:
+                yield rows(key, total)
+            key, total = at, counts
+    if key is not None:
+        yield rows(key, total)
+
+
 def count_phrases(texts: DataFrame, candidates: DataFrame) -> DataFrame:
     """(lang, phrase, n): contiguous occurrences of every candidate within pieces."""
     spark, most = texts.sparkSession, SLICE_BYTES
@@ -444,12 +491,15 @@ def count_phrases(texts: DataFrame, candidates: DataFrame) -> DataFrame:
                     trie.count(words, counts)
             for lang, found in by_lang.items():
                 for shard, _, counts in found:
-                    ids = np.flatnonzero(counts)
-                    yield _table({"lang": pa.array([lang] * len(ids), pa.string()), "shard": pa.array(np.full(len(ids), shard, np.int32)),
-                                  "id": pa.array(ids.astype(np.int32)), "n": pa.array(counts[ids], pa.int64())})
-
-        part = texts.mapInArrow(run, counted.schema).groupBy("lang", "shard", "id").agg(F.sum("n").alias("n"))
-        counted = counted.unionByName(checkpoint(part))
+                    for low in range(0, len(counts), BLOCK):
+                        block = counts[low:low + BLOCK]
+                        if block.any():
+                            yield _table({"lang": pa.array([lang]), "shard": pa.array([shard], pa.int32()), "block": pa.array([low], pa.int32()),
+                                          "counts": pa.array([zlib.compress(block.tobytes(), 1)], pa.binary())})
+
+        blocks = texts.mapInArrow(run, "lang string, shard int, block int, counts binary")
+        blocks = blocks.repartition("lang", "shard", "block").sortWithinPartitions("lang", "shard", "block")
+        counted = counted.unionByName(checkpoint(blocks.mapInArrow(_sum_blocks, counted.schema)))
         shared.unpersist()
     return counted.join(numbered, ["lang", "shard", "id"]).select("lang", "phrase", "n")
 

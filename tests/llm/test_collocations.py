@@ -96,7 +96,7 @@ def test_trie_counts_its_phrases_only():
 @pytest.mark.parametrize("small", [False, True])
 def test_equals_brute_force(spark, monkeypatch, small):
     if small:  # many slices, shards and rounds, and a bitmap full of collisions
-        for name, value in (("SLICE_BYTES", 2000), ("SHARD_BYTES", 100_000), ("ROUND_BYTES", 400_000), ("BITMAP_BITS", 32768)):
+        for name, value in (("SLICE_BYTES", 2000), ("SHARD_BYTES", 200), ("ROUND_BYTES", 4000), ("BITMAP_BITS", 32768), ("BLOCK", 16)):
             monkeypatch.setattr(C, name, value)
     rows = odd_rows()
     docs = frame(spark, rows).repartition(3)
