@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldline.llm.common import checkpoint
 from fieldline.operators.segments import running_totals
 
 ROLES = ("system", "user", "assistant", "tool")
@@ -134,8 +135,9 @@ def transcript_lines(conversations: DataFrame) -> DataFrame:
     keys = ["late", "turn", "r", "h", "own"]
     placed = running_totals(turns, ["n"], "conv_id", keys, NUMBERED_ROWS, F.struct("late", "turn", "r", "h"), "upto")
     lines = placed.select("conv_id", (F.col("upto") - F.col("n")).alias("begin"), "r", F.posexplode("own").alias("i", "line"))
-    return lines.select("conv_id", (F.col("begin") + F.col("i")).alias("line_no"), "line",
-                        (2 * F.col("r") + (F.col("i") > 0).cast("int")).alias("state"))
+    # Fitting and decoding read the lines several times; the checkpoint keeps their plans short.
+    return checkpoint(lines.select("conv_id", (F.col("begin") + F.col("i")).alias("line_no"), "line",
+                                   (2 * F.col("r") + (F.col("i") > 0).cast("int")).alias("state")))
 
 
 def _by_chunk(function, columns: str):
@@ -258,7 +260,7 @@ def decode_lines(lines: DataFrame, model: RoleModel, chunk: int = CHUNK) -> Data
     known = chunked.join(cuts.join(edges.drop("first"), ["conv_id", "chunk"]), ["conv_id", "chunk"], "left")
     known = known.fillna(-1, ["enter", "leave"]).fillna(False, ["blank"])
     columns = "conv_id long, chunk long, line_no long, line string, role int, turn_line long"
-    decoded = _sorted(known).mapInPandas(_by_chunk(_decode(model), columns), columns)
+    decoded = checkpoint(_sorted(known).mapInPandas(_by_chunk(_decode(model), columns), columns))
     # A chunk may open inside a turn: its start is the last one in an earlier chunk.
     last = decoded.groupBy("conv_id", "chunk").agg(F.max("turn_line").alias("last"), F.min("line_no").alias("first"))
     order = Window.partitionBy("conv_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
