@@ -110,6 +110,34 @@ def pregame_team_features(games: DataFrame, team_stats: DataFrame,
     return out.join(side("v", visitor_team), [*key, visitor_team], "left")
 
 
+def games_with_features(team_stats: DataFrame, columns: Sequence[str], key: Sequence[str] = ("season", "game_pk"),
+                        windows: Sequence[int] = K.TEAM_WINDOWS, stats: Sequence[str] = TEAM_STATS,
+                        home_team: str = "team_h", visitor_team: str = "team_v",
+                        home_suffix: str = "_h", visitor_suffix: str = "_v") -> DataFrame:
+    """Game rows put together again from their two team rows, with both sides' pre-game window stats.
+
+    ``team_stats`` are rows of ``unpivot_sides`` (one per game and side, every column carried along), so the
+    games are not read a second time; ``columns`` are the game's own columns, ``key`` tells a game. One
+    aggregation gives the game row and the features that ``pregame_team_features`` joins.
+    """
+    key = list(key)
+
+    def of_side(c: str, name: str, home: int) -> Column:
+        return F.max(F.when(F.col("home_game") == home, F.col(c))).alias(name)
+
+    def game_column(c: str) -> Column:
+        if c in (home_team, visitor_team):
+            return of_side("team", c, int(c == home_team))
+        for suffix, home in ((home_suffix, 1), (visitor_suffix, 0)):
+            if c.endswith(suffix):
+                return of_side(c.removesuffix(suffix), c, home)
+        return of_side(c, c, 1)
+
+    features = [of_side(f"rollsum_{s}_{w}", f"{s}_{w}_{side}", home) for side, home in (("h", 1), ("v", 0)) for w in windows for s in stats]
+    rows = team_stats.groupBy(*key).agg(*[game_column(c) for c in columns if c not in key], *features)
+    return rows.select(*columns, *[c for c in rows.columns if c not in columns])
+
+
 def doubleheader_number(log: DataFrame, partition: Sequence[str], order: Sequence[str],
                         date_text: str = "date_numeric") -> DataFrame:
     """1 if the next game is on the same date, plus 2 if the previous one is (0..3)."""

@@ -263,12 +263,13 @@ def season_games(games: DataFrame, odds_log: DataFrame, first_odds_season: int =
     keyed = team.with_game_key(team.game_outcome(games))
     key = [c for c in ("date_dblhead", "game_pk") if c in keyed.columns]
     stats = team.team_rolling(team.unpivot_sides(keyed), order=key, rows_per_segment=rows_per_segment)
-    own = ["season", "game_pk"] if "game_pk" in keyed.columns else ["season", "date_dblhead", "team_h", "team_v"]
+    own = ["season", "game_pk"]
     if "game_pk" not in keyed.columns:
-        side = F.col("home_game") == 1
+        own, side = ["season", "date_dblhead", "team_h", "team_v"], F.col("home_game") == 1
         stats = stats.withColumns({"team_h": F.when(side, F.col("team")).otherwise(F.col("opponent")),
                                    "team_v": F.when(side, F.col("opponent")).otherwise(F.col("team"))})
-    return odds.odds_join(team.pregame_team_features(keyed, stats, own), odds.prepare_odds_log(odds_log), first_odds_season)
+    rows = team.games_with_features(stats, keyed.columns, own)
+    return odds.odds_join(rows, odds.prepare_odds_log(odds_log), first_odds_season)
 
 
 def season_backfill(spark: SparkSession, seasons: Sequence[int], read_season, odds_log: DataFrame, table: str, done_table: str,

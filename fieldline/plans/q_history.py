@@ -118,7 +118,9 @@ LEFT JOIN team_stats v ON v.season = g.season AND v.game_pk = g.game_pk AND v.te
 
 @register("pregame_team_features", _pregame_sql())
 def q_pregame_team_features(spark, sf_dir):
-    return T.pregame_team_features(games_keyed(spark, sf_dir), team_stats(spark, sf_dir))
+    games = games_keyed(spark, sf_dir)
+    stats = T.team_rolling(T.unpivot_sides(games), order=["date_dblhead", "game_pk"])
+    return T.games_with_features(stats, games.columns)
 
 
 @register("two_sided_lookup", with_pitches(GAME_LOG_SQL, GAMES_KEYED_SQL, UNPIVOT_SQL,

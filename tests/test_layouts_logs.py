@@ -81,7 +81,7 @@ def test_team_logs_under_their_stored_names(spark, tmp_table_dir):
         Q.team_log_columns("fielding")
 
 
-@pytest.mark.parametrize("name, scans", [("odds_join", 2), ("recent_top", 2), ("dedup_latest", 1), ("rolling_rates", 1)])
+@pytest.mark.parametrize("name, scans", [("odds_join", 2), ("pregame_team_features", 1), ("recent_top", 2), ("dedup_latest", 1), ("rolling_rates", 1)])
 def test_pitches_are_scanned_this_often(spark, name, scans):
     text = entry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert sum("l_orderkey" in line and "parquet" in line for line in text.splitlines()) == scans
@@ -92,3 +92,24 @@ def test_dedup_latest_reads_only_what_decides(spark):
     text = M.dedup_latest(p, ["k"], ["v"], ["t"], settle_ties=False).select("k", "t")._jdf.queryExecution().optimizedPlan().toString()
     assert "xxhash64" not in text
     assert "xxhash64" in M.dedup_latest(p, ["k"], ["v"], ["t"])._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_games_put_together_from_their_sides_equal_the_join(spark):
+    from fieldline.operators import team as T
+    from fieldline.plans.q_history import games_keyed, team_stats
+    games = games_keyed(spark, SF)
+    joined = T.pregame_team_features(games, team_stats(spark, SF))
+    again = T.games_with_features(team_stats(spark, SF), games.columns)
+    assert sorted(again.columns) == sorted(joined.columns) and rows(again.select(*joined.columns)) == rows(joined)
+    one = T.games_with_features(team_stats(spark, SF), games.columns, windows=[30], stats=["OBP"])
+    assert rows(one, "game_pk", "OBP_30_h", "OBP_30_v") == rows(joined, "game_pk", "OBP_30_h", "OBP_30_v")
+
+
+def test_season_rows_without_an_id_of_their_own(spark):
+    """Log rows carry no game id: a game is its season, key and teams."""
+    from fieldline.plans.views import game_log_view, odds_log_view
+    games, log = game_log_view(spark, SF), odds_log_view(spark, SF)
+    with_id = jobs.season_games(games, log, 1998)
+    without = jobs.season_games(games.drop("game_pk"), log, 1998)
+    assert with_id.count() == without.count()
+    assert rows(without, "season", "date_dblhead", "team_h", "team_v", "AB_h") == rows(with_id, "season", "date_dblhead", "team_h", "team_v", "AB_h")
