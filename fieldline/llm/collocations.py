@@ -6,8 +6,9 @@ Method, level-wise as in Apriori (a phrase can only be frequent if its sub-phras
 2. For k = 1, 2, ...: a pass over the texts looks at neighbouring phrases of k words that both are
    possibly frequent (their hash is set in a bitmap of BITMAP_BITS bits) and adds up the hashes of
    the phrases of k + 1 words that they make. Hashes that reach the threshold form the next bitmap,
-   and a second pass writes down the distinct phrases whose hash is set. Collisions of hashes or
-   bits only ever add candidates, so the candidates are safe: every frequent phrase is one.
+   and a second pass writes down their phrases, each from a text that the first pass has named for it.
+   Collisions of bits only add candidates. Where phrases collide in their hash, the named text may lack
+   one: then the counts of step 4 fall short of the hash's, and its phrases are sought in all texts.
 3. The candidates are split into shards by language and first word, and each shard becomes a double-array
    trie over UTF-8 bytes (built in a task). The tries are broadcast in rounds of at most
    ROUND_BYTES of phrases, whatever the number of candidates.
@@ -30,6 +31,7 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -46,15 +48,17 @@ CONTAINED_PERCENT = 50
 SCALE = 1_000_000
 #: Parts that a language is ranked in first.
 SALTS = 8
-SLICE_BYTES = 1 << 20
-#: Entries (words, hashes, phrases) that a task holds before it merges or forgets them.
+SLICE_BYTES = 2 << 20
+#: Entries (words, hashes) that a task holds before it merges them.
 HELD = 1 << 19
-HASH_BITS = 44
+#: Hashes of candidates that are broadcast at a time.
+OWNED = 1 << 21
+HASH_BITS = 56
 #: Counts that travel together.
 BLOCK = 1 << 16
 BITMAP_BITS = 1 << 26
 #: Bytes of phrases in a trie, and in the tries that are broadcast at a time.
-SHARD_BYTES, ROUND_BYTES = 3 << 20, 36 << 20
+SHARD_BYTES, ROUND_BYTES = 8 << 20, 36 << 20
 
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 SPACE, PIECE = 32, 10
@@ -67,7 +71,8 @@ class Words:
     """The words of a slice of texts of one language.
 
     ``text`` holds them in order, each followed by a space or, at the end of a piece, by a line feed;
-    ``start`` and ``end`` are their places, ``ids`` number the distinct words in ``distinct``.
+    ``start`` and ``end`` are their places, ``ids`` number the distinct words in ``distinct``, ``tags``
+    hold a checksum of the text that each word stands in.
     """
 
     def __init__(self, texts: list[bytes]):
@@ -80,8 +85,10 @@ class Words:
         closes[:-1] = breaks[first[1:]] > breaks[last[:-1] - 1]
         size = last - first
         self.text = raw[~gap | ~after_gap].copy()
-        self.end = np.cumsum(size + 1) - 1
-        self.start = self.end - size
+        begins = np.cumsum([len(t) + 1 for t in texts])
+        self.tags = np.array([zlib.crc32(t) for t in texts], np.uint32)[np.searchsorted(begins, first, "right")] if len(first) else np.zeros(0, np.uint32)
+        self.end = (np.cumsum(size + 1) - 1).astype(np.int32)
+        self.start = self.end - size.astype(np.int32)
         self.text[self.end] = np.where(closes, PIECE, SPACE)
         self.joined = ~closes  # the next word belongs to the same piece
         offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
@@ -124,22 +131,28 @@ def phrase_hashes(h: np.ndarray, longest: int) -> list[np.ndarray]:
 
 
 class HashCounts:
-    """Adds up hashes over many slices, in memory that does not grow."""
+    """Adds up hashes over many slices, in memory that does not grow; keeps a tag of one occurrence of each."""
 
-    def __init__(self):
-        self.parts, self.held = [], 0
+    def __init__(self, bits: int):
+        self.bits, self.hashes, self.tags, self.held = bits, [], [], 0
 
-    def add(self, h: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.parts.append(h)
+    def add(self, h: np.ndarray, tags: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.hashes.append(h)
+        self.tags.append(tags)
         self.held += len(h)
         if self.held >= 2 * HELD:
             yield from self.flush()
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.held:
-            key, n = np.unique(np.concatenate(self.parts) & np.uint64((1 << HASH_BITS) - 1), return_counts=True)
-            yield _table({"h": pa.array(key.view(np.int64), pa.int64()), "n": pa.array(n, pa.int64())})
-        self.__init__()
+            key, at, n = np.unique(_cut(np.concatenate(self.hashes), self.bits), return_index=True, return_counts=True)
+            tag = np.concatenate(self.tags)[at].view(np.int32)
+            yield _table({"h": pa.array(key.view(np.int64), pa.int64()), "n": pa.array(n, pa.int64()), "tag": pa.array(tag, pa.int32())})
+        self.__init__(self.bits)
+
+
+def _cut(h: np.ndarray, bits: int) -> np.ndarray:
+    return h & np.uint64((1 << bits) - 1)
 
 
 def _is_set(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -230,40 +243,56 @@ def _hits(words: Words, keys: np.ndarray, k: int, bitmap_k: np.ndarray) -> np.nd
 
 
 def screen(texts: DataFrame, k: int, bits: np.ndarray, min_count: int) -> DataFrame:
-    """Hashes h of the phrases of k + 1 words that reach ``min_count``, where both their phrases of k words are set."""
-    shared, most = texts.sparkSession.sparkContext.broadcast(bits), SLICE_BYTES
+    """Hashes h of the phrases of k + 1 words that reach ``min_count``, where both their phrases of k words are set.
+
+    ``tag`` is the checksum of a text that holds one of the phrases.
+    """
+    shared, most, width = texts.sparkSession.sparkContext.broadcast(bits), SLICE_BYTES, HASH_BITS
 
     def run(batches):
-        held = HashCounts()
+        held = HashCounts(width)
         for lang, words in _slices(batches, most):
             keys = phrase_hashes(word_hashes(lang, words.distinct.to_pylist())[words.ids], k + 1)
             hit = _hits(words, keys[k - 1], k, shared.value)
             if len(hit) > 1:
                 both = hit[:-1] & hit[1:] & words.joined[k - 1:k + len(hit) - 2]
-                yield from held.add(keys[k][both])
+                yield from held.add(keys[k][both], words.tags[:len(both)][both])
         yield from held.flush()
 
-    rows = texts.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    return checkpoint(rows.where(F.col("n") >= min_count).select("h"))
+    rows = texts.mapInArrow(run, "h long, n long, tag int").groupBy("h").agg(F.sum("n").alias("n"), F.max("tag").alias("tag"))
+    found = checkpoint(rows.where(F.col("n") >= min_count))
+    texts.sparkSession._jvm.System.gc()  # the shuffle files of a finished step go when their plan is collected
+    return found
 
 
-def candidate_phrases(texts: DataFrame, k: int, bits: np.ndarray) -> DataFrame:
-    """The distinct (lang, phrase) of k words whose hash is set."""
-    shared, most = texts.sparkSession.sparkContext.broadcast(bits), SLICE_BYTES
+def candidate_phrases(texts: DataFrame, k: int, found: DataFrame, anywhere: bool = False) -> DataFrame:
+    """The distinct (lang, phrase) of k words behind the hashes that ``screen`` found.
 
-    def run(batches):
-        seen = defaultdict(set)
-        for lang, words in _slices(batches, most):
-            keys = phrase_hashes(word_hashes(lang, words.distinct.to_pylist())[words.ids], k)
-            hit = np.flatnonzero(_hits(words, keys[k - 1], k, shared.value))
-            own = seen[lang]
-            new = [p for p in words.phrases(words.distinct_at(hit, k), k) if p not in own]
-            own.update(new)
-            if sum(map(len, seen.values())) >= HELD:
-                seen.clear()  # some are handed on again, which distinct() settles
-            yield _table({"lang": pa.array([lang] * len(new), pa.string()), "phrase": pa.array(new, pa.binary()).cast(pa.string())})
+    A phrase is written down by the texts with its hash's tag alone, not by every task that holds it, or
+    ``anywhere``. The hashes are broadcast in parts of about OWNED.
+    """
+    spark, most, width = texts.sparkSession, SLICE_BYTES, HASH_BITS
+    parts, out = max(1, -(-found.count() // OWNED)), None
+    for part in range(parts):
+        owned = found.where(F.pmod("h", F.lit(parts)) == part).orderBy("h").toArrow()
+        shared = spark.sparkContext.broadcast((owned["h"].to_numpy().astype(np.uint64), owned["tag"].to_numpy().view(np.uint32)))
 
-    return checkpoint(texts.mapInArrow(run, "lang string, phrase string").distinct())
+        def run(batches, shared=shared):
+            hashes, tags = shared.value
+            for lang, words in _slices(batches, most):
+                key = _cut(phrase_hashes(word_hashes(lang, words.distinct.to_pylist())[words.ids], k)[k - 1], width)
+                if not len(key) or not len(hashes):
+                    continue
+                at = np.minimum(np.searchsorted(hashes, key), len(hashes) - 1)
+                hit = (hashes[at] == key) & (anywhere | (tags[at] == words.tags[:len(key)]))
+                for j in range(k - 1):
+                    hit &= words.joined[j:j + len(hit)]
+                new = words.phrases(words.distinct_at(np.flatnonzero(hit), k), k)
+                yield _table({"lang": pa.array([lang] * len(new), pa.string()), "phrase": pa.array(new, pa.binary()).cast(pa.string())})
+
+        rows = checkpoint(texts.mapInArrow(run, "lang string, phrase string").distinct())
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 class Trie:
@@ -376,17 +405,17 @@ class Trie:
 
     def _advance(self, state: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The children reached by the bytes, and which of them exist."""
-        child = self.base[state] + byte.astype(np.int64)
-        return child, self.check[child] == state
+        child = self.base.take(state) + byte
+        return child, self.check.take(child) == state
 
     def _after_first_words(self, words: Words) -> np.ndarray:
         """The state after each distinct word and a space; -1 where no phrase goes on."""
         one = np.empty(len(words.distinct), np.int64)
         one[words.ids[::-1]] = np.arange(len(words.ids))[::-1]
         at, end = words.start[one], words.end[one]
-        out, live, state = np.full(len(one), -1, np.int64), np.arange(len(one)), np.zeros(len(one), np.int64)
+        out, live, state = np.full(len(one), -1, np.int32), np.arange(len(one)), np.zeros(len(one), np.int32)
         while len(live):
-            byte = np.where(at[live] == end[live], SPACE, words.text[at[live]])
+            byte = np.where(at[live] == end[live], np.uint8(SPACE), words.text[at[live]])
             child, goes = self._advance(state[live], byte)
             over = at[live] == end[live]
             out[live[goes & over]] = child[goes & over]
@@ -501,7 +530,31 @@ def count_phrases(texts: DataFrame, candidates: DataFrame) -> DataFrame:
         blocks = blocks.repartition("lang", "shard", "block").sortWithinPartitions("lang", "shard", "block")
         counted = counted.unionByName(checkpoint(blocks.mapInArrow(_sum_blocks, counted.schema)))
         shared.unpersist()
-    return counted.join(numbered, ["lang", "shard", "id"]).select("lang", "phrase", "n")
+    return checkpoint(counted.join(numbered, ["lang", "shard", "id"]).select("lang", "phrase", "n"))
+
+
+def _union(frames) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _lost(counted: DataFrame, found: DataFrame, k: int) -> DataFrame:
+    """Hashes of ``found`` that occur more often than the counted phrases behind them.
+
+    Two phrases may share a hash while the text that was named for it holds only one. A frequent phrase's
+    parts are all frequent, so every occurrence of it is in n; a phrase that was lost leaves a gap.
+    """
+    width = HASH_BITS
+
+    def run(batches):
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("lang", "phrase")))
+            h = [phrase_hashes(word_hashes(lang, p.encode().split(b" ")), k)[k - 1][:1] for lang, p in rows]
+            h = _cut(np.concatenate(h), width) if h else np.zeros(0, np.uint64)
+            yield _table({"h": pa.array(h.view(np.int64), pa.int64()), "seen": batch.column("n")})
+
+    own = counted.where(F.size(F.split("phrase", " ")) == k).select("lang", "phrase", "n").mapInArrow(run, "h long, seen long")
+    seen = own.groupBy("h").agg(F.sum("seen").alias("seen"))
+    return checkpoint(found.join(seen, "h", "left").where(F.col("n") > F.coalesce("seen", F.lit(0))).select(*found.columns))
 
 
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, text_col: str = "text",
@@ -510,16 +563,20 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int =
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
     words = word_counts(texts, min_count)
     frequent = words.where("word IS NOT NULL")
-    bits, candidates = word_bits(frequent), []
+    bits, screened = word_bits(frequent), {}
     for k in range(2, max_words + 1):
-        bits = bitmap(screen(texts, k - 1, bits, min_count))
-        candidates.append(candidate_phrases(texts, k, bits))
+        screened[k] = screen(texts, k - 1, bits, min_count)
+        bits = bitmap(screened[k])
     counts = frequent.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("k"), "n")
-    if candidates:
-        both = candidates[0]
-        for more in candidates[1:]:
-            both = both.unionByName(more)
-        longer = count_phrases(texts, both).where(F.col("n") >= min_count)
+    if screened:
+        listed = _union(candidate_phrases(texts, k, found) for k, found in screened.items())
+        longer = count_phrases(texts, listed)
+        gaps = {k: _lost(longer, found, k) for k, found in screened.items()}
+        gaps = {k: lost for k, lost in gaps.items() if not lost.isEmpty()}
+        if gaps:
+            more = _union(candidate_phrases(texts, k, lost, anywhere=True) for k, lost in gaps.items())
+            longer = longer.unionByName(count_phrases(texts, more.join(listed, ["lang", "phrase"], "left_anti")))
+        longer = longer.where(F.col("n") >= min_count)
         counts = counts.unionByName(longer.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("k"), "n"))
     return checkpoint(counts), words.where("word IS NULL").select("lang", "n")
 

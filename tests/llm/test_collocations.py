@@ -106,6 +106,20 @@ def test_equals_brute_force(spark, monkeypatch, small):
         assert len(got) > 10
 
 
+def test_phrases_with_equal_hashes_are_all_found(spark, monkeypatch):
+    seen = []
+    lost = C._lost
+    monkeypatch.setattr(C, "_lost", lambda *a: seen.append(lost(*a)) or seen[-1])
+    for name in ("BITMAP_BITS", "HASH_BITS"):
+        monkeypatch.setattr(C, name, {"BITMAP_BITS": 32768, "HASH_BITS": 15}[name])
+    rng = random.Random(8)  # several phrases a hash
+    rows = odd_rows(4) + [("en", " ".join(f"w{rng.randrange(300)}" for _ in range(60)) * 2) for _ in range(400)]
+    docs = frame(spark, rows).repartition(4)
+    got = [tuple(r) for r in C.collocations(docs).collect()]
+    assert sorted(got) == sorted(brute(rows))
+    assert any(not gap.isEmpty() for gap in seen)
+
+
 def test_scores_are_exact_beyond_64_bits(spark):
     pairs = [(3_037_000_500, 3_037_000_501, 9_000_000_011), (10**13 - 1, 10**13, 10**13 + 7), (999_983, 1_000_003, 999_983)]
     df = spark.createDataFrame(pairs, "a long, l long, r long").selectExpr(
