@@ -50,7 +50,7 @@ SCALE = 1_000_000
 SALTS = 8
 SLICE_BYTES = 2 << 20
 #: Entries (words, hashes) that a task holds before it merges them.
-HELD = 1 << 19
+HELD = 1 << 18
 #: Hashes of candidates that are broadcast at a time.
 OWNED = 1 << 21
 HASH_BITS = 56
@@ -145,8 +145,12 @@ class HashCounts:
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.held:
-            key, at, n = np.unique(_cut(np.concatenate(self.hashes), self.bits), return_index=True, return_counts=True)
-            tag = np.concatenate(self.tags)[at].view(np.int32)
+            key = _cut(np.concatenate(self.hashes), self.bits)
+            order = np.argsort(key)
+            key = key[order]
+            at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            n, tag = np.diff(np.append(at, len(key))), np.concatenate(self.tags)[order[at]].view(np.int32)
+            key = key[at]
             yield _table({"h": pa.array(key.view(np.int64), pa.int64()), "n": pa.array(n, pa.int64()), "tag": pa.array(tag, pa.int32())})
         self.__init__(self.bits)
 
@@ -173,6 +177,7 @@ def _slices(batches, most: int) -> Iterator[tuple[str, Words]]:
             if size[lang] >= most:
                 yield lang, Words(held.pop(lang))
                 size[lang] = 0
+                pa.default_memory_pool().release_unused()
         for lang, texts in held.items():
             yield lang, Words(texts)
         pa.default_memory_pool().release_unused()
@@ -279,15 +284,20 @@ def candidate_phrases(texts: DataFrame, k: int, found: DataFrame, anywhere: bool
 
         def run(batches, shared=shared):
             hashes, tags = shared.value
+            low = np.uint64((1 << 24) - 1)
+            maybe = np.zeros(1 << 24, bool)  # tells most words apart from the hashes without a search
+            maybe[hashes & low] = True
             for lang, words in _slices(batches, most):
                 key = _cut(phrase_hashes(word_hashes(lang, words.distinct.to_pylist())[words.ids], k)[k - 1], width)
                 if not len(key) or not len(hashes):
                     continue
-                at = np.minimum(np.searchsorted(hashes, key), len(hashes) - 1)
-                hit = (hashes[at] == key) & (anywhere | (tags[at] == words.tags[:len(key)]))
+                hit = maybe[key & low]
                 for j in range(k - 1):
                     hit &= words.joined[j:j + len(hit)]
-                new = words.phrases(words.distinct_at(np.flatnonzero(hit), k), k)
+                place = np.flatnonzero(hit)
+                at = np.minimum(np.searchsorted(hashes, key[place]), len(hashes) - 1)
+                place = place[(hashes[at] == key[place]) & (anywhere | (tags[at] == words.tags[place]))]
+                new = words.phrases(words.distinct_at(place, k), k)
                 yield _table({"lang": pa.array([lang] * len(new), pa.string()), "phrase": pa.array(new, pa.binary()).cast(pa.string())})
 
         rows = checkpoint(texts.mapInArrow(run, "lang string, phrase string").distinct())
