@@ -64,7 +64,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each stage's output goes through a table in the shared folder."""
+    """All stages over ``documents``; each stage's output goes through a table in the shared folder.
+
+    The tables stay in a folder of their own (``pipeline-*``): the result reads the last of them lazily, so
+    whoever uses it decides when the folder may go.
+    """
     docs = read_table(spark, sf_dir, "documents")
     base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
