@@ -1,10 +1,12 @@
 """Tasks over pitches hold a bounded number of rows."""
 
 from collections import Counter
+
 from pyspark.sql import functions as F
 
 from fieldline.plans import q_features, views
 
+
 def largest(df):
     return df.groupBy(F.spark_partition_id().alias("task")).count().agg(F.max("count")).first()[0]
 
