@@ -21,3 +21,15 @@ def test_seasons_read_games_that_were_built_once(spark, tables, monkeypatch):
     summary = {r.season: r.n_rows for r in q_jobs.q_run_summary(spark, tables).collect()}
     assert len(built) == 1 and plans and not any("l_orderkey" in p for p in plans)
     assert set(summary) == {1999}
+
+
+def test_tails_read_stored_games(spark, tables, monkeypatch):
+    plans, start = [], jobs.start_tails
+
+    def planned(session, games, *a):
+        plans.append(games._jdf.queryExecution().optimizedPlan().toString())
+        return start(session, games, *a)
+
+    monkeypatch.setattr(jobs, "start_tails", planned)
+    assert q_jobs.q_rolled_day_features(spark, tables).count() == 4
+    assert len(plans) == 1 and "l_orderkey" not in plans[0]
