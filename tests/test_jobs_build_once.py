@@ -33,3 +33,15 @@ def test_tails_read_stored_games(spark, tables, monkeypatch):
     monkeypatch.setattr(jobs, "start_tails", planned)
     assert q_jobs.q_rolled_day_features(spark, tables).count() == 4
     assert len(plans) == 1 and "l_orderkey" not in plans[0]
+
+
+def test_results_are_parsed_once(spark, tables, monkeypatch):
+    plans, store = [], jobs.game_results
+
+    def planned(session, results, *a):
+        plans.append(results._jdf.queryExecution().optimizedPlan().toString())
+        return store(session, results, *a)
+
+    monkeypatch.setattr(jobs, "game_results", planned)
+    assert q_jobs.q_landed_results(spark, tables).count() == 200
+    assert len(plans) == 2 and not any("from_json" in p or "jsontostructs" in p for p in plans)
