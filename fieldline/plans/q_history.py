@@ -11,7 +11,7 @@ from fieldline.operators import team as T
 from fieldline.operators.rollup import bucket_rate
 from fieldline.plans import sqlgen as S
 from fieldline.plans.registry import register, with_pitches
-from fieldline.plans.views import GAME_LOG_SQL, ODDS_LOG_SQL, SIDE_STATS, game_log_view, odds_log_view
+from fieldline.plans.views import GAME_LOG_SQL, ODDS_LOG_SQL, SIDE_STATS, game_log_view, odds_log_view, tasks_for
 
 # Odds are looked up from this season on in the registered queries (the driver data spans
 # 1995-2001); the operator's default stays the source's 2022.
@@ -119,7 +119,8 @@ LEFT JOIN team_stats v ON v.season = g.season AND v.game_pk = g.game_pk AND v.te
 @register("pregame_team_features", _pregame_sql())
 def q_pregame_team_features(spark, sf_dir):
     games = games_keyed(spark, sf_dir)
-    stats = T.team_rolling(T.unpivot_sides(games), order=["date_dblhead", "game_pk"])
+    sides = T.unpivot_sides(games).repartition(tasks_for(spark, sf_dir, "orders"), "team", "season")
+    stats = T.team_rolling(sides, order=["date_dblhead", "game_pk"])
     return T.games_with_features(stats, games.columns)
 
 
