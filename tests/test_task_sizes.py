@@ -1,10 +1,12 @@
 """Tasks over pitches hold a bounded number of rows."""
 
+import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
-from fieldline.plans import q_features, views
+from fieldline.plans import q_features, q_jobs, views
 
 
 def largest(df):
@@ -36,3 +38,17 @@ def test_pitches_meet_whole_orders(spark, tables):
     at = plan.splitlines().index(dealt[0])
     below = [line for line in plan.splitlines()[at:] if "FileScan" in line]
     assert len(dealt) == 1 and "o_orderkey" in below[0] and "l_orderkey" not in below[0]
+
+
+@pytest.mark.parametrize("name", ["hot_rolling_sums", "hot_strict_rolling_sums", "hot_running_totals"])
+def test_hot_windows_are_dealt_by_segment(spark, tables, monkeypatch, name):
+    """Counts are dealt by (player, date) and windows by (player, segment), in tasks of bounded rows."""
+    run = getattr(q_jobs, f"q_{name}")
+    whole = Counter(run(spark, tables).collect())
+    monkeypatch.setattr(views, "PITCHES_PER_TASK", 10)
+    dealt = run(spark, tables)
+    assert Counter(dealt.collect()) == whole
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    for keys in ("player, _grain", "player, _segment"):
+        shape = r"hashpartitioning\(" + r"#\d+L?, ".join(keys.split(", ")) + r"#\d+L?, 120\), REPARTITION_BY_NUM"
+        assert re.search(shape, plan), keys
