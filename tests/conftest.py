@@ -3,6 +3,7 @@ import sys
 import tempfile
 
 import pytest
+from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -19,6 +20,15 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(autouse=True)
+def nothing_stays_cached():
+    """A frame that one test caches would stand in for the scans of the next test's plans."""
+    yield
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        session.catalog.clearCache()
+
+
 @pytest.fixture()
 def tmp_table_dir():
     return tempfile.mkdtemp(prefix="fl-tables-", dir="/tmp")
